@@ -1,6 +1,7 @@
 """Registration of queries and shared CTE text."""
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -23,7 +24,7 @@ CTES = {"hits": A.hits_sql(), "ohits": A.order_hits_sql(), "phits": A.page_hits_
 def with_ctes(body: str, *extra: str) -> str:
     """Prefix the adapter CTEs that the text mentions, then the extra ones."""
     text = body + " ".join(extra)
-    used = [sql for name, sql in CTES.items() if f"from {name}" in text or f"join {name}" in text]
+    used = [sql for name, sql in CTES.items() if re.search(rf"\b(from|join) {name}\b", text)]
     parts = used + list(extra)
     return (f"with {', '.join(parts)} {body}" if parts else body)
 

@@ -316,8 +316,8 @@ LABEL_CASE = """case id when '20' then 'Campaign View' when '228' then 'Quote St
     else 'unknown event' end"""
 
 
-@on_hits("event_label", f"""select id, {LABEL_CASE} as label, count(*) as n from
-    (select unnest({IDS_SQL.format(c='raw_event_list')}) as id from hits) group by id""")
+@on_hits("event_label", f"""select id, {LABEL_CASE} as label, count(distinct hit_id) as n from
+    (select hit_id, unnest({IDS_SQL.format(c='raw_event_list')}) as id from hits) group by id""")
 def _(h):
     ids = h.select(F.explode(E.event_presence("raw_event_list")).alias("id")).groupBy("id").agg(
         F.count(F.lit(1)).alias("n"))

@@ -134,29 +134,25 @@ def _(o):
 
 # ------------------------------------------------ the whole registry, written out as SQL
 
-def _event(e):
-    return f"(select count(*) from tokens t where t.hit_date = d.date and t.t = '{e}')"
-
-
-def hit_registry_sql() -> str:
+def hit_registry_sql(reg=HIT_REG, hits="hits", tokens="tokens", cal="cal") -> str:
     """Every hit-basis series spelled out from the tables."""
-    ev = ", ".join(f"count(*) filter (where t = '{e}') as e{e}" for e in HIT_REG.event_ids)
-    zero = ", ".join(f"coalesce(e{e}, 0) as e{e}" for e in HIT_REG.event_ids)
-    shares = [s for s in HIT_REG.series if s.kind == "share"]
+    ids, rates = reg.event_ids, [s for s in reg.series if s.kind == "rate"]
+    ev = ", ".join(f"count(*) filter (where t = '{e}') as e{e}" for e in ids)
+    shares = [s for s in reg.series if s.kind == "share"]
     sh = ", ".join(f"count(*) filter (where {s.dim} = '{s.dim_value}') as s{i}" for i, s in enumerate(shares))
     names = ["d.date as date", "coalesce(hits, 0) as hits_total", "coalesce(visits, 0) as visits_total",
              "coalesce(visitors, 0) as visitors_total"]
-    names += [f"coalesce(e{e}, 0) as event_{e}_count" for e in HIT_REG.event_ids]
-    names += ["coalesce(e10036 / hits, 0.0) as event_10036_rate"]
+    names += [f"coalesce(e{e}, 0) as event_{e}_count" for e in ids]
+    names += [f"coalesce(e{s.event_id} / hits, 0.0) as {s.metric_id}" for s in rates]
     names += [f'coalesce(s{i} / hits, 0.0) as "{s.metric_id}"' for i, s in enumerate(shares)]
     names += ["coalesce(hits, 0) as page_views_total", "coalesce(hits / visits, 0.0) as pv_per_visit"]
     conds = {"0": "pvs = 0", "1": "pvs = 1", "2": "pvs = 2", "3_5": "pvs between 3 and 5", "6plus": "pvs > 5"}
     bs = ", ".join(f"count(*) filter (where {c}) as b{k}" for k, c in conds.items())
     names += [f"coalesce(b{k} / visits, 0.0) as pv_bucket_share_{k}" for k in conds]
-    return (f"select {', '.join(names)} from cal d "
-            f"left join (select hit_date, count(*) as hits, count(distinct {VK}) as visits, count(distinct mcvisid) as visitors, {sh} from hits group by 1) a on a.hit_date = d.date "
-            f"left join (select hit_date, {ev} from tokens group by 1) e on e.hit_date = d.date "
-            f"left join (select hit_date, {bs} from (select hit_date, {VK} as vk, count(*) as pvs from hits group by 1, 2) group by 1) b on b.hit_date = d.date")
+    return (f"select {', '.join(names)} from {cal} d "
+            f"left join (select hit_date, count(*) as hits, count(distinct {VK}) as visits, count(distinct mcvisid) as visitors, {sh} from {hits} group by 1) a on a.hit_date = d.date "
+            f"left join (select hit_date, {ev} from {tokens} group by 1) e on e.hit_date = d.date "
+            f"left join (select hit_date, {bs} from (select hit_date, {VK} as vk, count(*) as pvs from {hits} group by 1, 2) group by 1) b on b.hit_date = d.date")
 
 
 def visit_registry_sql() -> str:
@@ -179,8 +175,31 @@ def visit_registry_sql() -> str:
             f"left join (select hit_date, {', '.join(cols)} from vtokens group by 1) e on e.hit_date = d.date")
 
 
-VTOKENS = f"vtokens as (select hit_date, post_evar4, {VK4} as vk, unnest(string_split(post_event_list, ',')) as t from hits)"
 HITS_CAL = CAL.format(t="hits")
+VTOKENS = f"vtokens as (select hit_date, post_evar4, {VK4} as vk, unnest(string_split(post_event_list, ',')) as t from hits)"
+
+
+ORDER_REG = R.hit_basis_registry("orders", ["1", "2", "3", "4", "5"], ["3"], [], ["F", "O", "P"],
+                                 rule_dims=("post_pagename", "language"))
+# CTEs giving the long KPI table of the orders calendar (years of days) and of the event hits.
+OLONG = ("otokens as (select hit_date, unnest(string_split(post_event_list, ',')) as t from ohits)",
+         CAL.format(t="ohits").replace("cal as", "ocal as"),
+         "olong as (select date, metric_id, value from (unpivot (select date, "
+         + ", ".join(f'cast("{m}" as double) as "{m}"' for m in ORDER_REG.metric_ids)
+         + " from (" + hit_registry_sql(ORDER_REG, "ohits", "otokens", "ocal")
+         + ")) on columns(* exclude (date)) into name metric_id value value))")
+HLONG = (TOKENS, HITS_CAL,
+         "hlong as (select date, metric_id, value from (unpivot (select date, "
+         + ", ".join(f'cast("{m}" as double) as "{m}"' for m in HIT_REG.metric_ids)
+         + " from (" + hit_registry_sql() + ")) on columns(* exclude (date)) into name metric_id value value))")
+
+
+def order_long(o):
+    return B.kpi_long(B.kpi_wide(o, ORDER_REG))
+
+
+def hit_long(h):
+    return B.kpi_long(B.kpi_wide(h, HIT_REG))
 
 
 def _rounded(wide, reg):
