@@ -1,3 +1,3 @@
 """Registered queries: every operator run over the given tables, with the SQL it must equal."""
-from . import expressions, filters, kpis, quality, sources  # noqa: F401
+from . import expressions, filters, kpis, quality, sources, series, detection  # noqa: F401
 from .base import REGISTERED  # noqa: F401

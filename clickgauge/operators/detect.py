@@ -157,7 +157,7 @@ def tail_scores(features: DataFrame) -> DataFrame:
     df = features.withColumn("u_l", left).withColumn("u_r", right).withColumn("_d", F.col("x") - mean)
     third = F.sum(F.pow("_d", F.lit(3))).over(series) / n
     df = df.withColumn("_third", third)
-    skewed = (F.when(F.col("_third") < -EPS, F.col("u_l")).when(F.col("_third") > EPS, F.col("u_r"))
+    skewed = (F.when(F.col("_third") < 0, F.col("u_l")).when(F.col("_third") > 0, F.col("u_r"))
               .otherwise(F.col("u_l") + F.col("u_r")))
     return df.withColumn("u_s", skewed).drop("_d", "_third")
 

@@ -77,7 +77,7 @@ HIT_COLUMNS = {
     "mobileappid": "case when k % 12 = 5 then concat('app', cast(k % 2 as string)) else '' end",
     "mobiledevice": "case when k % 12 = 5 then concat('phone', cast(k % 5 as string)) else null end",
     "ref_type": "cast(k % 5 as string)",
-    "browser": "cast(user_id % 9 as string)",
+    "browser": "case when epoch_day = 19745 and k < 50 then '' else cast(user_id % 9 as string) end",
     "va_closer_id": "case when epoch_day >= 19752 and k < 30 then 'new' when k < 60 then '1' else '' end",
     "amount": "value",
 }
