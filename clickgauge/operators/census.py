@@ -88,3 +88,107 @@ def with_dim_label(census: DataFrame, labels: DataFrame) -> DataFrame:
 def top_n(df: DataFrame, n: int, by: str = "n", *tie: str) -> DataFrame:
     """Largest ``n`` rows with an explicit tie-break (a distributed top-k, not a full sort)."""
     return df.orderBy(F.desc(by), *tie).limit(n)
+
+
+def distinct_of(c: Column, exact: bool = False) -> Column:
+    """Approximate distinct count (a fixed-size sketch), or the exact one."""
+    return F.count_distinct(c) if exact else F.approx_count_distinct(c)
+
+
+def top_values(df: DataFrame, column: str, n: int = 25, where: Column | None = None) -> DataFrame:
+    """Most frequent non-blank values with their share of all rows."""
+    if where is not None:
+        df = df.where(where)
+    rows = df.groupBy(qcol(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    total = rows.agg(F.sum("n")).scalar()
+    top = top_n(rows.where(nonblank("value")), n, "n", "value")
+    return top.withColumn("pct", pct(F.col("n"), total))
+
+
+# Column families by name.
+COLUMN_FAMILIES = {
+    "custom_vars": r"^(post_)?(evar|prop)[0-9]+$|^(post_)?campaign$",
+    "identity": r"visid|cust_id|userid|username|cookie",
+    "geo": r"^geo_|zip|country|region|city",
+    "time": r"time|date|_gmt$|^ts$",
+    "mobile": r"^mobile",
+    "url": r"url|referrer|href",
+}
+
+
+def column_families(census: DataFrame, families: dict[str, str] = COLUMN_FAMILIES) -> DataFrame:
+    """Columns and populated columns per name family; a name may belong to several."""
+    tags = F.array_compact(F.array(*[F.when(F.lower("column_name").rlike(p), F.lit(name))
+                                     for name, p in families.items()]))
+    tagged = census.select("column_name", "populated", F.explode(
+        F.when(F.size(tags) > 0, tags).otherwise(F.array(F.lit("other")))).alias("family"))
+    return tagged.groupBy("family").agg(
+        F.count(F.lit(1)).alias("columns"), count_where(F.col("populated") > 0).alias("populated_columns"))
+
+
+def _value_stats(values: DataFrame) -> DataFrame:
+    """Length statistics per column from (column_name, value, n), weighted by n."""
+    length, n = F.length("value"), F.col("n")
+    url = F.sum(F.when(F.col("value").startswith("http"), n).otherwise(0))
+    stats = values.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("distinct_values"), F.sum("n").alias("populated"),
+        F.percentile(length, F.lit(0.5), n).alias("len_p50"), (F.sum(length * n) / F.sum("n")).alias("len_avg"),
+        F.max(length).alias("len_max"), (url / F.sum("n")).alias("url_frac"))
+    return stats.withColumn("looks_like_url", F.col("url_frac") > 0.5).withColumn("free_text", F.col("len_avg") > 80)
+
+
+def text_shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Length and content shape of text columns."""
+    return _value_stats(column_values(df, columns)).drop("distinct_values", "populated")
+
+
+def custom_dims(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
+    """Shape and top values of every custom column, from one scan of the hits.
+
+    The value counts are the only shuffle of any size; statistics and top values both read
+    that aggregate (Spark reuses its exchange).
+    """
+    from .series import top_per_group
+    values = column_values(df, columns)
+    top = top_per_group(values, "column_name", k, "n", "value")
+    tops = top.groupBy("column_name").agg(F.array_sort(F.collect_list(
+        F.struct("rank", "value", "n"))).alias("top"))
+    return _value_stats(values).join(tops, "column_name", "left")
+
+
+def identity_evidence(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
+    """Blank share, distinct values, lengths and degenerate flags of identity columns."""
+    aggs, rows = [F.count(F.lit(1)).alias("_rows")], []
+    for i, c in enumerate(columns):
+        v = F.when(nonblank(c), qcol(c).cast("string"))
+        aggs += [F.count(v).alias(f"f{i}"), distinct_of(v, exact).alias(f"d{i}"), F.min(F.length(v)).alias(f"lo{i}"),
+                 F.avg(F.length(v)).alias(f"av{i}"), F.max(F.length(v)).alias(f"hi{i}")]
+        rows.append(F.struct(
+            F.lit(c).alias("column_name"), pct(F.col("_rows") - F.col(f"f{i}"), F.col("_rows")).alias("blank_pct"),
+            F.col(f"d{i}").alias("distinct_values"), F.col(f"lo{i}").alias("len_min"), F.col(f"av{i}").alias("len_avg"),
+            F.col(f"hi{i}").alias("len_max"), (F.col(f"f{i}") == 0).alias("all_null"),
+            (F.col(f"d{i}") == 1).alias("cardinality_1")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
+def group_nonblank_rates(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
+    """Rows and non-blank rate of many columns per group; absent columns give NULL."""
+    have = set(df.columns)
+    rates = [(F.avg(F.when(nonblank(c), 1.0).otherwise(0.0)) if c in have else F.lit(None).cast("double")).alias(c)
+             for c in columns]
+    return df.groupBy(group).agg(F.count(F.lit(1)).alias("rows"), *rates)
+
+
+def delimiter_probe(df: DataFrame, column: str, candidates: Sequence[str], parts: int = 3) -> DataFrame:
+    """How each candidate delimiter splits a tag, all in one pass; ``best`` marks the winner."""
+    from pyspark.sql import Window
+
+    from ..functions.text import split_literal
+    aggs, rows = [], []
+    for i, d in enumerate(candidates):
+        n = F.size(split_literal(column, d))
+        aggs += [F.avg(n).alias(f"a{i}"), F.avg((n == parts).cast("double")).alias(f"e{i}")]
+        rows.append(F.struct(F.lit(d).alias("delimiter"), F.col(f"a{i}").alias("avg_parts"), F.col(f"e{i}").alias("exact_share")))
+    out = df.where(nonblank(column)).agg(*aggs).select(F.inline(F.array(*rows)))
+    order = Window.partitionBy(F.lit(1)).orderBy(F.desc("exact_share"), F.desc("avg_parts"), "delimiter")
+    return out.withColumn("best", F.row_number().over(order) == 1)
