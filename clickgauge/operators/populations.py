@@ -77,7 +77,7 @@ def population_verdict(daily: DataFrame, floor: int = 100) -> DataFrame:
     """Is a daily population large enough? Frame: [population, date, visits]."""
     from .series import upper_median
     return daily.groupBy("population").agg(
-        upper_median("visits").alias("median_visits"), F.min("visits").alias("min_visits"), F.max("visits").alias("max_visits"),
+        upper_median("visits").cast("long").alias("median_visits"), F.min("visits").alias("min_visits"), F.max("visits").alias("max_visits"),
         count_where(F.col("visits") < floor).alias("days_below"), count_where(F.col("visits") == 0).alias("days_zero"),
         F.count(F.lit(1)).alias("days"))
 
