@@ -9,8 +9,9 @@ from ..operators import evaluate as E
 from ..operators import inject as N
 from ..operators import rules as RU
 from ..plans.registry import Thresholds
+from ..sources.scratch import materialize
 from .base import on_hits, on_orders
-from .kpis import OLONG, ORDER_REG, order_long
+from .kpis import OLONG, ORDER_REG, order_gold
 from .series import BASE_SQL, rounded
 
 COUNTS = ", ".join(f"'{m}'" for m in ORDER_REG.count_metrics)
@@ -89,34 +90,34 @@ def stamped(df):
     (select metric_id, any_value(med) as med, 1.4826 * median(abs(value - med)) as mad, stddev_pop(value) as sd from olong
      join (select metric_id, median(value) as med from olong group by 1) using (metric_id) group by 1) using (metric_id))""", *OLONG)
 def _(o):
-    return rounded(D.robust_z(order_long(o)).select("date", "metric_id", "z"), "z", digits=7)
+    return rounded(D.robust_z(order_gold(o)).select("date", "metric_id", "z"), "z", digits=7)
 
 
 @on_orders("scored_region", "select date, metric_id, idx, round(baseline, 9) as baseline, round(resid, 9) as resid from region", *REGION)
 def _(o):
-    df = D.scored_region(order_long(o), ORDER_REG).select("date", "metric_id", F.col("idx").cast("long").alias("idx"), "baseline", "resid")
+    df = D.scored_region(order_gold(o), ORDER_REG).select("date", "metric_id", F.col("idx").cast("long").alias("idx"), "baseline", "resid")
     return rounded(df, "baseline", "resid")
 
 
 @on_orders("quantile_gate", "select date, metric_id, coalesce(abs(resid) >= q and abs(z) >= 3.0, false) as gated from zs", *REGION)
 def _(o):
-    df = D.with_robust_z(D.scored_region(order_long(o), ORDER_REG), "resid", Window.partitionBy("metric_id"))
+    df = D.with_robust_z(D.scored_region(order_gold(o), ORDER_REG), "resid", Window.partitionBy("metric_id"))
     return D.quantile_gate(df).select("date", "metric_id", F.coalesce("gated", F.lit(False)).alias("gated"))
 
 
 @on_orders("detect_univariate", UNI_SQL, *REGION)
 def _(o):
-    return stamped(D.detect_univariate(order_long(o), ORDER_REG))
+    return stamped(D.detect_univariate(order_gold(o), ORDER_REG))
 
 
 @on_orders("anomaly_row", UNI_SQL, *REGION)
 def _(o):
-    return stamped(D.detect_univariate(order_long(o), ORDER_REG)).select(*D.ANOMALY_COLUMNS)
+    return stamped(D.detect_univariate(order_gold(o), ORDER_REG)).select(*D.ANOMALY_COLUMNS)
 
 
 @on_orders("level_shift_scores", "select date, metric_id, round(zz, 6) as z from shift", *REGION)
 def _(o):
-    return rounded(D.level_shift_scores(order_long(o), ORDER_REG).select("date", "metric_id", "z"), "z", digits=6)
+    return rounded(D.level_shift_scores(order_gold(o), ORDER_REG).select("date", "metric_id", "z"), "z", digits=6)
 
 
 LOOSE = Thresholds(ls_z=2.0)
@@ -124,17 +125,17 @@ LOOSE = Thresholds(ls_z=2.0)
 
 @on_orders("detect_level_shift", SHIFT_SQL.replace(">= 4.0", ">= 2.0").replace("4.0::double", "2.0::double"), *REGION)
 def _(o):
-    return stamped(D.detect_level_shift(order_long(o), ORDER_REG, LOOSE))
+    return stamped(D.detect_level_shift(order_gold(o), ORDER_REG, LOOSE))
 
 
 @on_orders("feature_matrix", "select date, metric_id, round(x, 9) as x from feat", *REGION)
 def _(o):
-    return rounded(D.feature_matrix(order_long(o), ORDER_REG), "x")
+    return rounded(D.feature_matrix(order_gold(o), ORDER_REG), "x")
 
 
 @on_orders("ecod_scores", "select date, round(o, 6) as ecod, round(e, 6) as per_feature, round(c, 6) as copod from days", *REGION)
 def _(o):
-    long = order_long(o)
+    long = order_gold(o)
     a, b, c = (D.multivariate_scores(long, ORDER_REG, m).withColumnRenamed("outlier_score", n)
                for m, n in (("ecod", "ecod"), ("ecod_per_feature", "per_feature"), ("copod", "copod")))
     return rounded(a.join(b, "date").join(c, "date"), "ecod", "per_feature", "copod", digits=6)
@@ -142,29 +143,30 @@ def _(o):
 
 @on_orders("detect_ecod", MV_SQL, *REGION)
 def _(o):
-    return stamped(D.detect_multivariate(order_long(o), ORDER_REG))
+    return stamped(D.detect_multivariate(order_gold(o), ORDER_REG))
 
 
 @on_orders("detect_copod", MV_SQL.replace("round(o, 4)", "round(c, 4)").replace("local:ecod", "local:copod"), *REGION[:-1],
            REGION[-1].replace("d.date, o,", "d.date, c,").replace("(o - med)", "(c - med)").replace("median(o)", "median(c)").replace("abs(o -", "abs(c -"))
 def _(o):
-    return stamped(D.detect_multivariate(order_long(o), ORDER_REG, method="copod"))
+    return stamped(D.detect_multivariate(order_gold(o), ORDER_REG, method="copod"))
 
 
 @on_orders("scored_subset", "select metric_id, count(*) as days from olong where metric_id not like 'pv%' and metric_id <> 'page_views_total' group by 1", *OLONG)
 def _(o):
     scored = [s.metric_id for s in ORDER_REG.scored]
-    return order_long(o).where(F.col("metric_id").isin(scored)).groupBy("metric_id").agg(F.count(F.lit(1)).alias("days"))
+    return order_gold(o).where(F.col("metric_id").isin(scored)).groupBy("metric_id").agg(F.count(F.lit(1)).alias("days"))
 
 
 ALL_SQL = " union all ".join([UNI_SQL, SHIFT_SQL, MV_SQL, ZERO_SQL, COVER_SQL, BLANK_SQL, NEW_SQL.format(tr=28)])
 
 
-def all_findings(o):
-    long = order_long(o)
+def all_findings(o, long=None):
+    """Findings as published: a table that scoring reads."""
+    long = order_gold(o) if long is None else long
     parts = [D.detect_univariate(long, ORDER_REG), D.detect_level_shift(long, ORDER_REG),
              D.detect_multivariate(long, ORDER_REG), RU.run_rules(long, o, ORDER_REG)]
-    return D.anomaly_union(parts, STAMP)
+    return materialize(D.anomaly_union(parts, STAMP), "anomalies")
 
 
 FOUND = (*REGION, *ODIMS, f"found as ({ALL_SQL})")
@@ -190,19 +192,19 @@ DENOM = ("den as (select 'business' as class, 'univariate' as detector, (select
 
 @on_orders("fp_denominators", "select * from den", *REGION, DENOM)
 def _(o):
-    return D.fp_denominators(order_long(o), ORDER_REG)
+    return D.fp_denominators(order_gold(o), ORDER_REG)
 
 
 # ---------------------------------------------------------------- rules
 
 @on_orders("rule_zero_volume", ZERO_SQL, *OLONG)
 def _(o):
-    return stamped(RU.rule_zero_volume(order_long(o)))
+    return stamped(RU.rule_zero_volume(order_gold(o)))
 
 
 @on_orders("rule_event_coverage", COVER_SQL.replace(">= 0.9", ">= 0.2"), *OLONG)
 def _(o):
-    return stamped(RU.rule_event_coverage(order_long(o), ORDER_REG, Thresholds(min_active_frac=0.2)))
+    return stamped(RU.rule_event_coverage(order_gold(o), ORDER_REG, Thresholds(min_active_frac=0.2)))
 
 
 HDIMS = ("post_pagename", "language", "ref_type", "browser", "va_closer_id")
@@ -220,7 +222,7 @@ def _(h):
 
 @on_orders("run_rules", " union all ".join([ZERO_SQL, COVER_SQL, BLANK_SQL, NEW_SQL.format(tr=28)]), *OLONG, *ODIMS)
 def _(o):
-    return stamped(RU.run_rules(order_long(o), o, ORDER_REG))
+    return stamped(RU.run_rules(order_gold(o), o, ORDER_REG))
 
 
 # ---------------------------------------------------------------- perturbations
@@ -349,7 +351,8 @@ def _(o):
            *FOUND, MANIFEST_SQL, DENOM)
 def _(o):
     out = E.excluded_days(N.manifest(o.sparkSession, SCENARIOS), known(o))
-    return E.score_fp(all_findings(o), D.fp_denominators(order_long(o), ORDER_REG), out)
+    long = order_gold(o)
+    return E.score_fp(all_findings(o, long), D.fp_denominators(long, ORDER_REG), out)
 
 
 @on_orders("control_known_events", "select d as date, d in (select date from found where metric_id in ('hits_total', 'visits_total', 'visitors_total', 'mv_daily_kpi_vector')) as flagged from (select unnest(["

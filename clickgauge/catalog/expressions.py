@@ -25,10 +25,16 @@ def _(h):
     return dotted.where(T.qcol("visit.evar4") == "hd").select("hit_id", T.qcol("visit.evar4").alias("v"))
 
 
-@on_hits("pick_col", "select hit_id, post_evar8 as picked, post_evar4 as evar from hits")
+@on_hits("pick_col", "select hit_id, post_evar8 as picked from hits")
 def _(h):
-    return h.select("hit_id", F.col(T.pick_col(h, "missing", "POST_EVAR8")).alias("picked"),
-                    F.col(T.evar(h, 4)).alias("evar"))
+    return h.select("hit_id", F.col(T.pick_col(h, "missing", "POST_EVAR8")).alias("picked"))
+
+
+@on_hits("evar", "select hit_id, post_evar8 as tag, post_evar4 as category from hits")
+def _(h):
+    """Processed column first, raw column where there is no processed one."""
+    raw = h.withColumnRenamed("post_evar8", "evar8")
+    return raw.select("hit_id", F.col(T.evar(raw, 8)).alias("tag"), F.col(T.evar(raw, 4)).alias("category"))
 
 
 @on_hits("split_part", """select hit_id, nullif(string_split(post_pagename, ':')[2], '') as second,

@@ -9,6 +9,7 @@ from ..operators import kpi as O
 from ..operators.calendar import calendar_spine, join_calendar, stack_on_calendar, zero_fill
 from ..plans import builder as B
 from ..plans import registry as R
+from ..sources.scratch import materialize
 from .base import on_hits, on_orders
 
 HIT_REG = R.hit_basis_registry(
@@ -198,8 +199,13 @@ def order_long(o):
     return B.kpi_long(B.kpi_wide(o, ORDER_REG))
 
 
-def hit_long(h):
-    return B.kpi_long(B.kpi_wide(h, HIT_REG))
+def order_gold(o):
+    """The KPI table as written: later operators read it instead of the hits."""
+    return materialize(order_long(o), "gold")
+
+
+def hit_gold(h):
+    return materialize(B.kpi_long(B.kpi_wide(h, HIT_REG)), "gold")
 
 
 def _rounded(wide, reg):
@@ -255,9 +261,13 @@ def _(h):
     return df.select("date", F.round("share", 9).alias("share"), F.round("spread", 9).alias("spread"))
 
 
-@on_hits("registry_frame", None)
+GOV = ", ".join(f"('{s.metric_id}', '{s.status}', '{s.direction}', {str(s.log_scale).lower()})" for s in VISIT_REG.series)
+
+
+@on_hits("registry_frame", f"select v.metric_id, status, direction, log_scale, total from (values {GOV}) r(metric_id, status, direction, log_scale) "
+         f"join (select metric_id, round(sum(value), 6) as total from ({_long_sql(VISIT_REG, visit_registry_sql())}) group by 1) v on v.metric_id = r.metric_id", VTOKENS, HITS_CAL)
 def _(h):
     """Governance columns of the registry next to each series' total."""
     reg = VISIT_REG.frame(h.sparkSession)
     totals = B.kpi_long(B.kpi_wide(h, VISIT_REG)).groupBy("metric_id").agg(F.round(F.sum("value"), 6).alias("total"))
-    return totals.join(reg, "metric_id")
+    return totals.join(reg.select("metric_id", "status", "direction", "log_scale"), "metric_id")

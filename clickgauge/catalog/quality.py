@@ -13,7 +13,7 @@ from ..operators import joins as J
 from .base import on_hits, on_orders
 from .expressions import IDS_SQL
 from .filters import ANY_SQL, EXC, EXCLUDE, HREFS, INC, INCLUDE, LOGIN, RULES, URL, url_of
-from .kpis import HLONG, OLONG, VK, hit_long, order_long
+from .kpis import HLONG, OLONG, VK, hit_gold, order_gold
 
 
 def visit():
@@ -47,12 +47,12 @@ ZERO = """select date, date not in (select hit_date from ohits) as is_synthetic
 
 @on_orders("zero_fill_trap", ZERO, *OLONG)
 def _(o):
-    return J.zero_fill_trap(order_long(o), o, "hit_date")
+    return J.zero_fill_trap(order_gold(o), o, "hit_date")
 
 
 @on_orders("mask_synthetic", "select date, metric_id, round(value, 9) as value from olong where date in (select hit_date from ohits)", *OLONG)
 def _(o):
-    return J.mask_synthetic(order_long(o), o, "hit_date").select("date", "metric_id", F.round("value", 9).alias("value"))
+    return J.mask_synthetic(order_gold(o), o, "hit_date").select("date", "metric_id", F.round("value", 9).alias("value"))
 
 
 @on_orders("cross_single_row", """select count(*) as hits, count(distinct mcvisid) as visitors, min(hit_date) as first_day from ohits""")
@@ -65,7 +65,7 @@ def _(o):
 @on_orders("kpi_parity", """select count(*) as cells, count(*) filter (where date = date '2001-08-01') as unmatched,
     max(case when date <> date '2001-08-01' and metric_id = 'hits_total' then value * 0.5 else 0 end) as max_abs_diff from olong""", *OLONG)
 def _(o):
-    a = order_long(o)
+    a = order_gold(o)
     b = a.where("date <> date '2001-08-01'").withColumn(
         "value", F.when(F.col("metric_id") == "hits_total", F.col("value") * 0.5).otherwise(F.col("value")))
     return J.kpi_parity(a, b)
@@ -127,7 +127,7 @@ def _(h):
     from hlong where metric_id in ('hits_total', 'event_228_count', 'event_10001_count', 'event_20_count') group by 1
     union all select 'event_228_count', 0.0, 'FAIL'""", *HLONG)
 def _(h):
-    return Q.dq_dead_series(hit_long(h), ["hits_total", "event_228_count", "event_10001_count", "event_20_count"])
+    return Q.dq_dead_series(hit_gold(h), ["hits_total", "event_228_count", "event_10001_count", "event_20_count"])
 
 
 # ---------------------------------------------------------------- verification reports
@@ -186,7 +186,7 @@ def _(h):
 @on_hits("verify_gold_shape", """select count(distinct date) as days_present, count(distinct metric_id) as series_count, count(*) as long_rows,
     count(*) filter (where value is null) as null_values, date_diff('day', min(date), max(date)) + 1 as days_in_span, 'PASS' as verdict from hlong""", *HLONG)
 def _(h):
-    return Q.verify_gold_shape(hit_long(h), 42)
+    return Q.verify_gold_shape(hit_gold(h), 42)
 
 
 @on_hits("verify_pv_identity", """select count(*) as days, count(*) filter (where abs(h - p) > 1e-9) as basis_mismatch_days,
@@ -194,7 +194,7 @@ def _(h):
     from (select date, max(value) filter (where metric_id = 'hits_total') as h, max(value) filter (where metric_id = 'page_views_total') as p,
     max(value) filter (where metric_id = 'visits_total') as v, sum(value) filter (where metric_id like 'pv_bucket_share_%') as b from hlong group by 1)""", *HLONG)
 def _(h):
-    return Q.verify_pv_identity(hit_long(h)).withColumn("mean_pv_per_visit", F.round("mean_pv_per_visit", 9))
+    return Q.verify_pv_identity(hit_gold(h)).withColumn("mean_pv_per_visit", F.round("mean_pv_per_visit", 9))
 
 
 FUNNEL = ["event_20_count", "event_228_count", "event_10001_count"]
@@ -204,7 +204,7 @@ FUNNEL = ["event_20_count", "event_228_count", "event_10001_count"]
     case when sum(value) > 0 then 'PASS' else 'FAIL' end as verdict from hlong
     where metric_id in ('event_20_count', 'event_228_count', 'event_10001_count') group by 1""", *HLONG)
 def _(h):
-    return Q.verify_funnel_events(hit_long(h), FUNNEL)
+    return Q.verify_funnel_events(hit_gold(h), FUNNEL)
 
 
 @on_hits("verify_funnel_ratios", """select round(a / nullif(b, 0), 9) as start_over_view, round(c / nullif(a, 0), 9) as flag_over_start,
@@ -212,7 +212,7 @@ def _(h):
     (select sum(value) filter (where metric_id = 'event_228_count') as a, sum(value) filter (where metric_id = 'event_20_count') as b,
     sum(value) filter (where metric_id = 'event_10036_count') as c from hlong)""", *HLONG)
 def _(h):
-    out = Q.verify_funnel_ratios(hit_long(h), {"start_over_view": ("event_228_count", "event_20_count"),
+    out = Q.verify_funnel_ratios(hit_gold(h), {"start_over_view": ("event_228_count", "event_20_count"),
                                                "flag_over_start": ("event_10036_count", "event_228_count")})
     return out.select(F.round("start_over_view", 9).alias("start_over_view"), F.round("flag_over_start", 9).alias("flag_over_start"), "verdict")
 
@@ -220,11 +220,11 @@ def _(h):
 @on_hits("verify_lang_share", """select metric_id, round(avg(value), 9) as mean_share, round(min(value), 9) as min_share, round(max(value), 9) as max_share,
     case when sum(value) > 0 then 'PASS' else 'FAIL' end as verdict from hlong where metric_id in ('language_share_45', 'language_share_39') group by 1""", *HLONG)
 def _(h):
-    out = Q.verify_lang_share(hit_long(h), ["language_share_45", "language_share_39"])
+    out = Q.verify_lang_share(hit_gold(h), ["language_share_45", "language_share_39"])
     return out.select("metric_id", "verdict", *[F.round(c, 9).alias(c) for c in ("mean_share", "min_share", "max_share")])
 
 
 @on_orders("verify_zero_fill", f"""select count(*) as zero_days, count(*) filter (where is_synthetic) as synthetic_days,
     count(*) filter (where not is_synthetic) as genuine_days, case when count(*) > 0 then 'REVIEW' else 'PASS' end as verdict from ({ZERO})""", *OLONG)
 def _(o):
-    return Q.verify_zero_fill(order_long(o), o, "hit_date")
+    return Q.verify_zero_fill(order_gold(o), o, "hit_date")

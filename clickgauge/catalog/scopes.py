@@ -11,6 +11,7 @@ from ..operators import links as L
 from ..operators import populations as O
 from ..operators import suites as S
 from ..operators import urlprofile as UP
+from ..operators.joins import flag_qualified
 from .base import on_hits, on_pages
 from .expressions import FOUR, FOUR_SQL, HOST_LANGS, HOST_LANG_SQL, PARTS, PATHS, PATH_LANGS, URL_COLS
 from .filters import ANY_SQL, EXC, EXCLUDE, HREFS, INC, INCLUDE, LOGIN, RULES, RULE_SQL, URL, url_of
@@ -284,7 +285,7 @@ GEO = {"country": "geo_country", "region": "geo_region", "city": "geo_city", "la
 
 @on_hits("geo_distribution", " union all ".join(
     f"select '{lv}' as level, v as value, n, round(100.0 * n / t, 3) as pct, round(100.0 * sum(n) over (order by n desc, v rows unbounded preceding) / t, 3) as cumulative_pct from "
-    f"(select {c} as v, count(*) as n, sum(count(*)) over () as t from hits where {c} <> '' group by 1 order by n desc, v limit 10)" for lv, c in GEO.items()))
+    f"(select {c} as v, count(*) as n, (select count(*) from hits) as t from hits where {c} <> '' group by 1 order by n desc, v limit 10)" for lv, c in GEO.items()))
 def _(h):
     return S.geo_distribution(h, GEO, 10)
 
@@ -442,10 +443,9 @@ POPS = (HREFS, f"pop as (select *, {VK} as vk, {PAIR} as pr from hrefs)", f"q as
 
 
 def _populations(h):
-    from ..operators.joins import qualified_visits
-    q = qualified_visits(h, visit(), P.any_rule(RULES, "href")).withColumn("pop", F.lit("qualified"))
-    both = q.unionByName(h.where("campaign = 'abc'").withColumn("pop", F.lit("paid")))
-    return O.population_series(both, "hit_date", {p: F.col("pop") == p for p in ("qualified", "paid")}, visit(), F.col("mcvisid"), pair(), K.page_view_flag("page_marker"))
+    flagged = flag_qualified(h, visit(), P.any_rule(RULES, "href"))
+    return O.population_series(flagged, "hit_date", {"qualified": F.col("qualified"), "paid": F.col("campaign") == "abc"},
+                               visit(), F.col("mcvisid"), pair(), K.page_view_flag("page_marker"))
 
 
 @on_hits("population_series", "select * from pdays", *POPS)

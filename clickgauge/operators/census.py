@@ -51,30 +51,39 @@ def column_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def _census_batch(text: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, rows, populated, distinct_values) of some columns from one aggregate."""
+    aggs, rows = [F.count(F.lit(1)).alias("_rows")], []
+    for i, c in enumerate(columns):
+        v = F.when(nonblank(c), qcol(c))
+        aggs += [F.count(v).alias(f"f{i}"), F.approx_count_distinct(v).alias(f"d{i}")]
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.col("_rows").alias("rows"),
+                             F.col(f"f{i}").alias("populated"), F.col(f"d{i}").alias("distinct_values")))
+    return text.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def population_census(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = False,
                       batch: int = 150) -> DataFrame:
-    """Per column: populated rows and percentage, distinct values, class."""
+    """Per column: populated rows and percentage, distinct values, class.
+
+    Sketched: one aggregate per ``batch`` columns, reading only those columns and shuffling one
+    row per task. Exact: one unpivot and a two-level group-by over (column, value).
+    """
     columns = list(columns or df.columns)
-    text = as_text(df, columns)
-    filled = [(c, count_where(nonblank(c))) for c in columns]
-    total = [("", F.count(F.lit(1)))]
-    counts = batched_agg(text, filled + total, batch, "column_name")
-    rows = counts.where("column_name = ''").select(F.col("value").alias("rows")).scalar()
-    per = counts.where("column_name <> ''").select(
-        "column_name", F.col("value").cast("long").alias("populated"), rows.alias("rows"))
     if exact:
-        distinct = (column_values(df, columns).groupBy("column_name")
-                    .agg(F.count(F.lit(1)).alias("distinct_values")))
+        per = column_values(df, columns).groupBy("column_name").agg(
+            F.sum("n").alias("populated"), F.count(F.lit(1)).alias("distinct_values"))
+        names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+        per = names.join(per, "column_name", "left").fillna(0).withColumn("rows", df.agg(F.count(F.lit(1))).scalar())
     else:
-        apx = [(c, F.approx_count_distinct(F.when(nonblank(c), qcol(c)))) for c in columns]
-        distinct = batched_agg(text, apx, batch, "column_name").select(
-            "column_name", F.col("value").cast("long").alias("distinct_values"))
+        text = as_text(df, columns)
+        per = _census_batch(text, columns[:batch])
+        for at in range(batch, len(columns), batch):
+            per = per.unionByName(_census_batch(text, columns[at:at + batch]))
     share = pct(F.col("populated"), F.col("rows"))
     kind = (F.when(F.col("populated") == 0, "dead").when(share < POPULATED_MIN_PCT, "sparse")
             .when(share >= CORE_MIN_PCT, "core").otherwise("populated"))
-    return per.join(distinct, "column_name", "left").select(
-        "column_name", "populated", share.alias("pop_pct"),
-        F.coalesce("distinct_values", F.lit(0)).cast("long").alias("distinct_values"), kind.alias("class"))
+    return per.select("column_name", "populated", share.alias("pop_pct"), "distinct_values", kind.alias("class"))
 
 
 def with_dim_label(census: DataFrame, labels: DataFrame) -> DataFrame:

@@ -58,12 +58,14 @@ def with_hash_rank(df: DataFrame, id_col: str) -> DataFrame:
     """Exact 1-based rank by md5, without sorting everything in one task.
 
     Rows are ranked inside buckets of the leading hex digits; the bucket offsets come from a
-    count per bucket (4,096 rows at most, hence safe to broadcast).
+    count per bucket (4,096 rows at most, hence safe to broadcast). Also adds ``_total``, the
+    number of rows, from the same counts.
     """
     df = df.withColumn("_h", hash_of(id_col)).withColumn("_b", F.substring("_h", 1, HEX_PREFIX))
     sizes = df.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(F.lit(1)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+                           F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("_total"))
     inside = F.row_number().over(Window.partitionBy("_b").orderBy("_h", id_col))
     ranked = df.withColumn("_r", inside).join(F.broadcast(offsets), "_b")
     return ranked.withColumn("_rank", F.col("_r") + F.col("_offset")).drop("_h", "_b", "_r", "_offset")
@@ -77,10 +79,10 @@ def _rounded(n: Column, factor: float) -> Column:
 def inject_volume(df: DataFrame, sc: Scenario, day: str, id_col: str) -> DataFrame:
     """Spike or level shift: append round(n * (m - 1)) copies of window rows with fresh ids."""
     window = df.where(sc.inside(day))
-    n = window.agg(F.count(F.lit(1))).scalar()
+    n = F.col("_total")
     extra = _rounded(n, sc.magnitude - 1)
     ranked = with_hash_rank(window, id_col)
-    whole = F.coalesce(F.floor(F.try_divide(extra, n)), F.lit(0))
+    whole = F.floor(extra / n)
     copies = whole + F.when(F.col("_rank") <= extra - whole * n, 1).otherwise(0)
     added = (ranked.withColumn("_copies", copies).where("_copies > 0")
              .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies").cast("long"))))
@@ -99,7 +101,7 @@ def inject_dip(df: DataFrame, sc: Scenario, day: str, id_col: str) -> DataFrame:
 def inject_dim_mix(df: DataFrame, sc: Scenario, day: str, id_col: str) -> DataFrame:
     """Force round(n * m) window rows to one dimension value; volume is unchanged."""
     window = df.where(sc.inside(day))
-    forced = _rounded(window.agg(F.count(F.lit(1))).scalar(), sc.magnitude)
+    forced = _rounded(F.col("_total"), sc.magnitude)
     ranked = with_hash_rank(window, id_col).withColumn(
         sc.dim, F.when(F.col("_rank") <= forced, F.lit(sc.value)).otherwise(F.col(sc.dim)))
     return df.where(~sc.inside(day)).unionByName(ranked.select(*df.columns))

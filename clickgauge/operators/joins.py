@@ -28,6 +28,13 @@ def qualified_visits(df: DataFrame, visit: Column, qualifies: Column) -> DataFra
     return keyed.join(keys, "_visit", "left_semi").drop("_visit")
 
 
+def flag_qualified(df: DataFrame, visit: Column, qualifies: Column, out: str = "qualified") -> DataFrame:
+    """As :func:`qualified_visits`, but marks the hits instead of dropping the others."""
+    keyed = df.withColumn("_visit", visit)
+    keys = keyed.where(qualifies).select("_visit").distinct().withColumn(out, F.lit(True))
+    return keyed.join(keys, "_visit", "left").withColumn(out, F.coalesce(out, F.lit(False))).drop("_visit")
+
+
 def visit_overlap(df: DataFrame, visit: Column, a: Column, b: Column) -> DataFrame:
     """Sizes of two visit populations and of their overlap, from one group-by on the key."""
     per = (df.select(visit.alias("_visit"), flag(a).alias("a"), flag(b).alias("b"))
@@ -53,10 +60,9 @@ def zero_days(long: DataFrame) -> DataFrame:
 
 def zero_fill_trap(long: DataFrame, hits: DataFrame, day: str) -> DataFrame:
     """All-zero KPI days, each marked synthetic (no source rows) or genuine."""
-    present = hits.select(F.to_date(as_col(day)).alias("date")).distinct()
-    synthetic = zero_days(long).join(present, "date", "left_anti").withColumn("is_synthetic", F.lit(True))
-    genuine = zero_days(long).join(present, "date", "left_semi").withColumn("is_synthetic", F.lit(False))
-    return synthetic.unionByName(genuine)
+    present = hits.select(F.to_date(as_col(day)).alias("date")).distinct().withColumn("_seen", F.lit(True))
+    marked = zero_days(long).join(present, "date", "left")
+    return marked.select("date", F.col("_seen").isNull().alias("is_synthetic"))
 
 
 def mask_synthetic(long: DataFrame, hits: DataFrame, day: str) -> DataFrame:

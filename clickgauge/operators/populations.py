@@ -48,21 +48,23 @@ def visitor_grain(df: DataFrame, day: str, visitor: Column, pair: Column) -> Dat
 
 def population_series(df: DataFrame, day: str, populations: Mapping[str, Column], visit: Column, visitor: Column,
                       pair: Column, marker: Column) -> DataFrame:
-    """Daily hits, page views, visits and visitors of several populations.
+    """Daily hits, page views, visits and visitors of several populations, in one scan.
 
-    Each hit is tagged once with the populations it belongs to; the explode multiplies rows
-    only inside a partition, since both group-bys combine before their shuffle.
+    A hit is repeated per population and per key; both the rows and the keys are combined by
+    (population, day, key) before the only wide shuffle. Every hit has one "visits" row (its
+    key may be NULL), so hits and page views are read off those.
     """
     tags = F.array_compact(F.array(*[F.when(no_null(c), F.lit(n)) for n, c in populations.items()]))
-    rows = df.select(F.to_date(as_col(day)).alias("date"), visit.cast("string").alias("visits"),
-                     visitor.cast("string").alias("visitors"), pair.cast("string").alias("visitors_pair"),
-                     marker.alias("_pv"), F.explode(tags).alias("population"))
-    totals = rows.groupBy("population", "date").agg(F.count(F.lit(1)).alias("hits"), F.sum("_pv").alias("page_views"))
-    kinds = ("visits", "visitors", "visitors_pair")
-    keys = rows.select("population", "date", F.inline(F.array(*[
-        F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in kinds]))).where("v is not null").distinct()
-    distinct = keys.groupBy("population", "date").agg(*[count_where(F.col("k") == k).alias(k) for k in kinds])
-    return totals.join(distinct, ["population", "date"], "left")
+    keys = {"visits": visit, "visitors": visitor, "visitors_pair": pair}
+    rows = df.select(F.to_date(as_col(day)).alias("date"), marker.alias("_pv"), *[c.cast("string").alias(k) for k, c in keys.items()],
+                     F.explode(tags).alias("population"))
+    rows = rows.select("population", "date", "_pv", F.inline(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in keys])))
+    cells = rows.groupBy("population", "date", "k", "v").agg(F.count(F.lit(1)).alias("n"), F.sum("_pv").alias("pvs"))
+    once = F.col("k") == "visits"
+    return cells.groupBy("population", "date").agg(
+        F.sum(F.when(once, F.col("n"))).alias("hits"), F.sum(F.when(once, F.col("pvs"))).alias("page_views"),
+        *[count_where((F.col("k") == k) & F.col("v").isNotNull()).alias(k) for k in keys])
 
 
 def rule_visit_contrib(df: DataFrame, rules: Sequence[LinkRule], href: str, visit: Column) -> DataFrame:

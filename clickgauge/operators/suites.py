@@ -3,14 +3,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import mobile_hit, no_null
 from ..functions.text import as_col, brand_triple, count_where, nonblank, pct, share_where, split_part
 from ..functions.url import url_coalesce
-from .census import column_families, population_census, top_n, top_values
-from .series import cumulative_pct, top_per_group
+from .census import column_families, column_values, population_census, top_n
+from .series import top_per_group
 
 
 def _suite_days(df: DataFrame, suite: Column, day: str) -> DataFrame:
@@ -84,14 +84,20 @@ def pagename_prefix_census(df: DataFrame, suite: str, column: str, delim: str =
     return top_per_group(n, "suite", k, "n", "prefix")
 
 
+def _ranked_values(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
+    """Top values of several columns from one scan, as shares of all rows."""
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    top = top_per_group(column_values(df, columns), "column_name", k, "n", "value")
+    run = Window.partitionBy("column_name").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    return top.select("column_name", "value", "n", pct(F.col("n"), rows).alias("pct"),
+                      pct(F.sum("n").over(run), rows).alias("cumulative_pct"))
+
+
 def geo_distribution(df: DataFrame, levels: dict[str, str], k: int = 25) -> DataFrame:
-    """Top values per geographic level (country with running share), language included."""
-    out = None
-    for level, column in levels.items():
-        n = df.where(nonblank(column)).groupBy(F.col(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-        part = cumulative_pct(n, k, "n", "value").select(F.lit(level).alias("level"), "value", "n", "pct", "cumulative_pct")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Top values per geographic level (and language), with share and running share."""
+    names = F.create_map(*[F.lit(x) for level, column in levels.items() for x in (column, level)])
+    ranked = _ranked_values(df, list(levels.values()), k)
+    return ranked.select(names[F.col("column_name")].alias("level"), "value", "n", "pct", "cumulative_pct")
 
 
 def mobile_share(df: DataFrame, app_id: str, source: str) -> DataFrame:
@@ -100,11 +106,8 @@ def mobile_share(df: DataFrame, app_id: str, source: str) -> DataFrame:
 
 
 def mobile_tops(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
-    out = None
-    for c in columns:
-        part = top_values(df, c, k).select(F.lit(c).alias("column_name"), "value", "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Top apps, devices, systems and actions."""
+    return _ranked_values(df, columns, k).select("column_name", "value", "n")
 
 
 # Column families of a mobile feed.
