@@ -1,16 +1,20 @@
 """Registry-driven KPI build.
 
-Three aggregates over the hits, whatever the number of series:
-
-* hit grain, ``groupBy(day)``: totals, page views, shares, event occurrences. Map-side
-  combine leaves one row per day and task, so nothing hit-sized is shuffled;
-* visit grain, ``groupBy(day, visit)`` then day: visits, visit-distinct events, cube cells,
-  page-view buckets. Only columns those series need are carried;
+A few narrow aggregates over the hits, however many series there are, each reading its own
+columns only:
+
+* hit grain, ``groupBy(day)``: totals, page views, dimension shares. Map-side combine leaves
+  one row per day and task, so nothing hit-sized is shuffled;
+* event occurrences (hit basis): tracked ids are exploded and counted by (day, id, bucket),
+  again combined map-side;
+* visit grain, ``groupBy(day, visit)`` then day: visits, page-view buckets and, on the visit
+  basis, which events and cube cells the visit carried. Those flags travel as bits of a long,
+  so the shuffle holds a key and a word per visit instead of a column per series;
 * visitor grain, ``groupBy(day, visitor)`` then day.
 
-The distinct counts are two-level group-bys, so a hot day or key is combined before it is
-shuffled and no set of keys is held in one task. The three results (one row per day) are
-merged with the calendar by a union and one aggregate.
+Distinct counts are two-level group-bys, so a hot day or key is combined before it is
+shuffled and no set of keys is held in one task. The results (one row per day) are merged
+with the calendar by a union and one aggregate.
 """
 from __future__ import annotations
 
@@ -19,77 +23,105 @@ from pyspark.sql import functions as F
 
 from ..functions.events import list_ids
 from ..functions.keys import page_view_flag, pv_bucket
-from ..functions.text import count_where, flag, ratio0
+from ..functions.text import count_where, ratio0
 from ..operators.calendar import calendar_spine, stack_on_calendar
 from .registry import Registry, SeriesSpec
 
 DATE = "date"
 
 
-def _dim_bucket(spec: SeriesSpec, siblings: list[SeriesSpec]) -> Column:
-    """Does the hit fall in this cell's dimension bucket? NULL and blank go to "other"."""
+WORD = 60  # flags per long
+
+
+def _claimed(dim: str, specs: list[SeriesSpec]) -> list[str]:
+    return [s.dim_value for s in specs if s.dim == dim and s.dim_value is not None]
+
+
+def _in_bucket(spec: SeriesSpec, cube: list[SeriesSpec]) -> Column:
+    """Does the row fall in the cell's bucket? NULL, blank and unclaimed values are "other"."""
     if spec.dim_value is not None:
         return F.coalesce(F.col(spec.dim) == spec.dim_value, F.lit(False))
-    claimed = [s.dim_value for s in siblings if s.dim == spec.dim and s.dim_value is not None]
-    return ~F.coalesce(F.col(spec.dim).isin(claimed), F.lit(False))
+    return ~F.coalesce(F.col(spec.dim).isin(_claimed(spec.dim, cube)), F.lit(False))
+
+
+def _count_column(s: SeriesSpec) -> str:
+    return s.metric_id if s.source == "event" else f"cube_{s.metric_id}"
 
 
-def _events_of(reg: Registry) -> list[tuple[str, str, Column | None]]:
-    """(count column, event id, extra condition) of every event and cube series."""
-    cube = reg.of("event_dim")
-    plain = [(f"ev_{e}", e, None) for e in reg.event_ids]
-    return plain + [(f"cube_{s.metric_id}", s.event_id, _dim_bucket(s, cube)) for s in cube]
+def _event_specs(reg: Registry) -> list[SeriesSpec]:
+    plain = [SeriesSpec(f"ev_{e}", "count", "event", event_id=e) for e in reg.event_ids]
+    return plain + reg.of("event_dim")
 
 
 def _hit_columns(df: DataFrame, reg: Registry) -> DataFrame:
-    """Only what the series need; ids of no interest are dropped from the list here."""
+    """Only what the series need."""
     dims = sorted({s.dim for s in reg.series if s.dim})
     tracked = sorted({s.event_id for s in reg.series if s.event_id})
     cols = [F.to_date(reg.date_col).alias(DATE), reg.visit_expr().alias("_visit"),
             reg.visitor_expr().alias("_visitor"), *[F.col(d) for d in dims]]
     if tracked:
-        ids = list_ids(reg.event_col)
-        if reg.event_basis == "visits":
-            ids = F.array_intersect(ids, F.array(*[F.lit(t) for t in tracked]))
-        cols.append(ids.alias("_ids"))
+        cols.append(list_ids(reg.event_col).alias("_ids"))
     if reg.of("page_views") or reg.of("visit_pv_bucket"):
         cols.append(page_view_flag(reg.page_view_basis, reg.page_marker).alias("_pv"))
     return df.select(*cols).where(F.col(DATE).isNotNull())
 
 
-def _occurrences(event_id: str, cond: Column | None) -> Column:
-    n = F.size("_ids") - F.size(F.array_remove("_ids", event_id))
-    return n if cond is None else F.when(cond, n).otherwise(0)
-
-
-def _carried(event_id: str, cond: Column | None) -> Column:
-    has = F.array_contains("_ids", event_id)
-    return flag(has if cond is None else has & cond)
-
-
 def _hit_grain(hits: DataFrame, reg: Registry) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("hits")]
     if reg.of("page_views"):
         aggs.append(F.sum("_pv").alias("page_views"))
     aggs += [count_where(F.col(s.dim) == s.dim_value).alias(f"share_{s.metric_id}")
              for s in reg.series if s.kind == "share"]
-    if reg.event_basis == "hits":
-        aggs += [F.sum(_occurrences(e, c)).alias(name) for name, e, c in _events_of(reg)]
     return hits.groupBy(DATE).agg(*aggs)
 
 
+def _event_occurrences(hits: DataFrame, reg: Registry) -> DataFrame:
+    """Token occurrences per event and cube cell, one row per day."""
+    specs, cube = _event_specs(reg), reg.of("event_dim")
+    dims = sorted({s.dim for s in cube})
+    buckets = [F.when(F.col(d).isin(_claimed(d, cube)), F.col(d)).alias(d) for d in dims]
+    tokens = hits.select(DATE, *buckets, F.explode("_ids").alias("_id")).where(
+        F.col("_id").isin(sorted({s.event_id for s in specs})))
+    counted = tokens.groupBy(DATE, "_id", *dims).agg(F.count(F.lit(1)).alias("_n"))
+    aggs = []
+    for s in specs:
+        cond = F.col("_id") == s.event_id
+        if s.dim:
+            cond = cond & (F.col(s.dim).isNull() if s.dim_value is None else F.col(s.dim) == s.dim_value)
+        aggs.append(F.sum(F.when(cond, F.col("_n"))).alias(_count_column(s)))
+    return counted.groupBy(DATE).agg(*aggs)
+
+
+def _flag_words(reg: Registry) -> tuple[list[Column], dict[str, tuple[int, int]]]:
+    """Per hit, the cells it carries as bits; and where each count column's bit is."""
+    cube, words, place = reg.of("event_dim"), [], {}
+    for i, s in enumerate(_event_specs(reg)):
+        word, bit = divmod(i, WORD)
+        carried = F.array_contains("_ids", s.event_id)
+        if s.dim:
+            carried = carried & _in_bucket(s, cube)
+        value = F.when(carried, F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long"))
+        if bit == 0:
+            words.append(value)
+        else:
+            words[word] = words[word].bitwiseOR(value)
+        place[_count_column(s)] = (word, bit)
+    return words, place
+
+
 def _visit_grain(hits: DataFrame, reg: Registry) -> DataFrame:
-    per_visit, per_day = [], [F.count(F.lit(1)).alias("visits")]
+    keep, per_visit, per_day = [], [], [F.count(F.lit(1)).alias("visits")]
     if reg.event_basis == "visits":
-        for name, e, c in _events_of(reg):
-            per_visit.append(F.max(_carried(e, c)).alias(name))
-            per_day.append(F.sum(name).alias(name))
+        words, place = _flag_words(reg)
+        keep += [w.alias(f"_w{i}") for i, w in enumerate(words)]
+        per_visit += [F.bit_or(f"_w{i}").alias(f"_w{i}") for i in range(len(words))]
+        per_day += [F.sum(F.getbit(f"_w{w}", F.lit(bit)).cast("long")).alias(name) for name, (w, bit) in place.items()]
     buckets = reg.of("visit_pv_bucket")
     if buckets:
+        keep.append(F.col("_pv"))
         per_visit.append(F.sum("_pv").alias("_pvs"))
-        per_day += [count_where(pv_bucket("_pvs") == s.dim_value).alias(f"bucket_{s.metric_id}")
-                    for s in buckets]
-    keyed = hits.where(F.col("_visit").isNotNull()).groupBy(DATE, "_visit")
+        per_day += [count_where(pv_bucket("_pvs") == s.dim_value).alias(f"bucket_{s.metric_id}") for s in buckets]
+    keyed = hits.where(F.col("_visit").isNotNull()).select(DATE, "_visit", *keep).groupBy(DATE, "_visit")
     visits = keyed.agg(*per_visit) if per_visit else keyed.agg(F.lit(1).alias("_one"))
     return visits.groupBy(DATE).agg(*per_day)
 
@@ -136,8 +168,8 @@ def kpi_wide(df: DataFrame, reg: Registry) -> DataFrame:
     """One row per calendar day, one column per series in registry order."""
     exprs = kpi_expressions(reg)
     hits = _hit_columns(df, reg)
-    parts = [_hit_grain(hits, reg), _visit_grain(hits, reg),
-             daily_distinct(hits, "_visitor", "visitors")]
+    parts = [_hit_grain(hits, reg), _visit_grain(hits, reg), daily_distinct(hits, "_visitor", "visitors"),
+             *([_event_occurrences(hits, reg)] if reg.event_basis == "hits" and _event_specs(reg) else [])]
     counts = [c for p in parts for c in p.columns if c != DATE]
     merged = stack_on_calendar(calendar_spine(hits, DATE), parts, counts)
     return merged.select(DATE, *[exprs[m].alias(m) for m in reg.metric_ids]).orderBy(DATE)
