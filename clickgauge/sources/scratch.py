@@ -9,16 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a local session without one gets its own folder."""
+    """``spark.checkpoint.dir``; only a local session without one gets a folder of its own."""
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return _local_dirs[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
