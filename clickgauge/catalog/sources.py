@@ -162,5 +162,5 @@ def _(h):
     percentile_disc(0.5) within group (order by gap desc) as median_gap_hours, min(gap) as min_gap_hours, max(gap) as max_gap_hours
     from (select event_type, epoch_us(ts - lag(ts) over (partition by event_type order by ts)) / 3.6e9 as gap from events) group by 1)""")
 def _(spark, d):
-    out = commit_cadence(A.table(spark, d, "events"), "ts", "event_type")
+    out = commit_cadence(A.table(spark, d, "events"), "ts", "event_type", exact=True)
     return out.select("op", "commits", *[F.round(c, 6).alias(c) for c in ("median_gap_hours", "min_gap_hours", "max_gap_hours")])

@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import any_of, as_col, nonblank, pick_col
+from .text import any_of, as_col, bind, nonblank, pick_col
 from .url import pct_decode4, strip_query, url_coalesce, url_coalesce_raw
 
 
@@ -25,10 +25,15 @@ def like_any(c: str | Column, patterns: Sequence[str]) -> Column:
     return no_null(any_of(as_col(c).like(p.lower()) for p in patterns))
 
 
-def scope_url(url: Column, include: Sequence[str], exclude: Sequence[str] = ()) -> Column:
+def _included(url: Column, include: Sequence[str], exclude: Sequence[str]) -> Column:
     return like_any(url, include) & ~like_any(url, exclude)
 
 
+def scope_url(url: Column, include: Sequence[str], exclude: Sequence[str] = ()) -> Column:
+    """Include AND NOT exclude; the url expression is evaluated once for all patterns."""
+    return bind(url, lambda u: _included(u, include, exclude))
+
+
 def scope_url_single_root(c: str | Column, pattern: str) -> Column:
     """One case-sensitive LIKE on one column (NULL gives NULL, hence no row)."""
     return as_col(c).like(pattern)
@@ -37,8 +42,12 @@ def scope_url_single_root(c: str | Column, pattern: str) -> Column:
 def scope_baseline_dated(url: Column, include: Sequence[str], exclude: Sequence[str],
                          retired: Sequence[str], until: date | str, day: str | Column) -> Column:
     """URL scope that also admits retired hosts, but only up to a date."""
-    kept = like_any(url, retired) & (as_col(day) <= F.lit(str(until)).cast("date"))
-    return (like_any(url, include) | kept) & ~like_any(url, exclude)
+    in_time = as_col(day) <= F.lit(str(until)).cast("date")
+    return bind(url, lambda u: _baseline(u, include, exclude, retired, in_time))
+
+
+def _baseline(url: Column, include, exclude, retired, in_time: Column) -> Column:
+    return (like_any(url, include) | (like_any(url, retired) & in_time)) & ~like_any(url, exclude)
 
 
 def scope_login_exclude(page_url: Column, hosts: Sequence[str]) -> Column:
@@ -83,21 +92,22 @@ class Scope:
         if self.include or self.exclude or self.login_hosts:
             if cols:
                 url = (url_coalesce_raw if self.raw_coalesce else url_coalesce)(*cols)
-                if self.include and self.retired and self.retired_until:
-                    conds.append(scope_baseline_dated(url, self.include, self.exclude, self.retired,
-                                                      self.retired_until, self.day_col))
-                elif self.include:
-                    conds.append(scope_url(url, self.include, self.exclude))
-                elif self.exclude:
-                    conds.append(~like_any(url, self.exclude))
-                if self.login_hosts:
-                    conds.append(scope_login_exclude(url, self.login_hosts))
+                conds.append(bind(url, self._url_condition))
             (active if cols else missing).append("url")
         out = F.lit(True)
         for c in conds:
             out = out & c
         return out, {"active": active, "missing": missing}
 
+    def _url_condition(self, url: Column) -> Column:
+        cond = ~like_any(url, self.exclude) if self.exclude else F.lit(True)
+        if self.include and self.retired and self.retired_until:
+            in_time = as_col(self.day_col) <= F.lit(self.retired_until).cast("date")
+            cond = _baseline(url, self.include, self.exclude, self.retired, in_time)
+        elif self.include:
+            cond = _included(url, self.include, self.exclude)
+        return cond & scope_login_exclude(url, self.login_hosts) if self.login_hosts else cond
+
 
 # Hit sources that are uploads rather than visits.
 UPLOAD_SOURCES = (5, 7, 8, 9)
@@ -162,9 +172,7 @@ class LinkRule:
         return f"{self.rule_id}_{self.lang}"
 
 
-def rule_match(rule: LinkRule, href: str | Column) -> Column:
-    raw = F.lower(as_col(href))
-    plain = pct_decode4(raw)
+def _rule_condition(rule: LinkRule, raw: Column, plain: Column) -> Column:
     cond = plain.contains(rule.token)
     if rule.anti_token:
         cond = cond & ~plain.contains(rule.anti_token)
@@ -172,11 +180,23 @@ def rule_match(rule: LinkRule, href: str | Column) -> Column:
         cond = cond & raw.contains(rule.lang_token)
     if rule.lang_anti_token:
         cond = cond & ~raw.contains(rule.lang_anti_token)
-    return no_null(cond)
+    return cond
+
+
+def rule_match(rule: LinkRule, href: str | Column) -> Column:
+    raw = F.lower(as_col(href))
+    return no_null(_rule_condition(rule, raw, pct_decode4(raw)))
 
 
 def any_rule(rules: Sequence[LinkRule], href: str | Column) -> Column:
-    return any_of(rule_match(r, href) for r in rules)
+    """True where at least one rule matches.
+
+    Made for filters, which do not share common sub-expressions: the lower-cased and the
+    decoded href are bound once per row for all rules, and blank hrefs are not looked at.
+    """
+    raw = F.lower(as_col(href))
+    matched = bind(raw, lambda r: bind(pct_decode4(r), lambda p: any_of(_rule_condition(x, r, p) for x in rules)))
+    return F.when(nonblank(href), no_null(matched)).otherwise(False)
 
 
 STRATEGIES = ("exact", "prefix", "path", "token", "token_name")

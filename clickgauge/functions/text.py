@@ -69,6 +69,11 @@ def any_of(conds) -> Column:
     return reduce(lambda a, b: a | b, conds, F.lit(False))
 
 
+def bind(value: Column, body) -> Column:
+    """``body`` over ``value``, evaluating ``value`` once however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def split_literal(c: str | Column, delim: str) -> Column:
     return F.split(as_col(c), re.escape(delim))
 

@@ -38,15 +38,21 @@ def _partition_files(spark: SparkSession, path: str, col: str, start: str) -> di
     return found
 
 
-def windowed_overwrite(df: DataFrame, path: str, col: str, start: str) -> list[str]:
+def windowed_overwrite(df: DataFrame, path: str, col: str, start: str, rebalance: bool = True) -> list[str]:
     """Replace every row with partition >= ``start`` by ``df``; earlier partitions stay.
 
+    Rows are rebalanced on the partition first, so that a day is written by as many tasks as
+    its size needs: adaptive execution merges small days and splits a hot one. Without it,
+    every task writes a file per day.
+
     There is no upper bound: a narrower re-run also discards later partitions that the new
     data lacks. ISO dates compare as text. Returns the partitions dropped as stale.
     """
     spark = df.sparkSession
     before = _partition_files(spark, path, col, start)
     window = df.where(F.col(col).cast("string") >= start)
+    if rebalance:
+        window = window.hint("rebalance", col)
     (window.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(col).parquet(path))
     after = _partition_files(spark, path, col, start)
