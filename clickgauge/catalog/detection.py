@@ -35,7 +35,7 @@ REGION = (
     "tails as (select date, metric_id, x, -ln(cume_dist() over (partition by metric_id order by x)) as u_l, -ln(cume_dist() over (partition by metric_id order by x desc)) as u_r, third from feat join mom using (metric_id))",
     "tails2 as (select *, case when third < 0 then u_l when third > 0 then u_r else u_l + u_r end as u_s from tails)",
     "days as (select date, greatest(sum(u_l), sum(u_r), sum(u_s)) as o, sum(greatest(u_s, (u_l + u_r) / 2)) as c, sum(greatest(u_l, u_r, u_s)) as e from tails2 group by 1)",
-    "dz as (select d.date, o, (o - med) / (1.4826 * mad) as z from days d, (select median(o) as med from days), (select median(abs(o - (select median(o) from days))) as mad from days))",
+    "dz as (select d.date, o, case when sc > 1e-12 then (o - med) / sc else 0.0 end as z from days d, (select median(o) as med from days), (select case when 1.4826 * mad > 1e-12 then 1.4826 * mad else sd end as sc from (select median(abs(o - (select median(o) from days))) as mad, stddev_pop(o) as sd from days)))",
 )
 SEV = "case when {z} >= 12 then 'critical' when {z} >= 8 then 'major' when {z} >= 5 then 'minor' else 'warn' end"
 SEGMENT = " ".join(f"when '{s.metric_id}' then '{s.dim_value}'" for s in ORDER_REG.scored if s.dim_value)
@@ -147,7 +147,7 @@ def _(o):
 
 
 @on_orders("detect_copod", MV_SQL.replace("round(o, 4)", "round(c, 4)").replace("local:ecod", "local:copod"), *REGION[:-1],
-           REGION[-1].replace("d.date, o,", "d.date, c,").replace("(o - med)", "(c - med)").replace("median(o)", "median(c)").replace("abs(o -", "abs(c -"))
+           REGION[-1].replace("d.date, o,", "d.date, c,").replace("(o - med)", "(c - med)").replace("median(o)", "median(c)").replace("abs(o -", "abs(c -").replace("pop(o)", "pop(c)"))
 def _(o):
     return stamped(D.detect_multivariate(order_gold(o), ORDER_REG, method="copod"))
 
