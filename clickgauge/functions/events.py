@@ -23,10 +23,14 @@ def bare_id(token: Column) -> Column:
     return F.trim(F.substring_index(token, "=", 1))
 
 
+def bare_ids(c: str | Column) -> Column:
+    """Ids without values, spaces and blanks; NULL for a NULL list. One pass over the list."""
+    return F.array_remove(F.transform(F.split(as_col(c), ","), bare_id), "")
+
+
 def event_list_normalize(c: str | Column) -> Column:
     """Drop ``=value`` suffixes, blanks and spaces; NULL stays NULL."""
-    ids = F.transform(F.split(as_col(c), ","), bare_id)
-    return F.array_join(F.filter(ids, lambda t: t != ""), ",")
+    return F.array_join(bare_ids(c), ",")
 
 
 def event_tokens(c: str | Column) -> Column:
@@ -38,7 +42,7 @@ def event_tokens(c: str | Column) -> Column:
 
 def event_presence(c: str | Column) -> Column:
     """Distinct ids carried by the hit."""
-    return F.array_distinct(F.transform(raw_tokens(c), bare_id))
+    return F.coalesce(F.array_distinct(bare_ids(c)), F.array().cast("array<string>"))
 
 
 def list_ids(c: str | Column) -> Column:

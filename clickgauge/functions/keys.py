@@ -1,6 +1,8 @@
 """Composite identity keys, pseudonyms and per-hit page-view markers."""
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,31 @@ def page_view_flag_fallback(df: DataFrame) -> tuple[Column, str]:
     return F.lit(1), "all_hits"
 
 
+WORD = 60  # flags per long
+
+
+def flag_words(conds: Sequence[Column], prefix: str = "_w") -> list[Column]:
+    """Many boolean flags as bits of a few longs, so that they travel as one column each."""
+    words = []
+    for at in range(0, len(conds), WORD):
+        word = F.lit(0).cast("long")
+        for bit, cond in enumerate(conds[at:at + WORD]):
+            word = word.bitwiseOR(F.when(cond, F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long")))
+        words.append(word.alias(f"{prefix}{at // WORD}"))
+    return words
+
+
+def or_words(n: int, prefix: str = "_w") -> list[Column]:
+    """Group aggregates: a flag is set when any row of the group has it."""
+    return [F.bit_or(f"{prefix}{i}").alias(f"{prefix}{i}") for i in range((n + WORD - 1) // WORD)]
+
+
+def count_flag(i: int, prefix: str = "_w") -> Column:
+    """Groups that have flag ``i``."""
+    word, bit = divmod(i, WORD)
+    return F.sum(F.getbit(f"{prefix}{word}", F.lit(bit)).cast("long"))
+
+
 def pv_bucket(n: str | Column) -> Column:
     n = as_col(n)
     return (F.when(n == 0, "0").when(n == 1, "1").when(n == 2, "2")

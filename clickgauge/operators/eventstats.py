@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.events import event_contains, event_presence, event_tokens, raw_tokens
+from ..functions.keys import count_flag, flag_words, or_words
 from ..functions.text import as_col, count_where, pct, share_where
 from .census import top_n
 from .series import top_per_group
@@ -84,13 +85,18 @@ def _carrying(df: DataFrame, events: str, ids: Sequence[str], *cols: Column) ->
 def funnel_summary(df: DataFrame, day: str, visit: Column, events: str, steps: dict[str, str]) -> DataFrame:
     """Per step: hits, distinct visits, share of hits, active days, first and last day.
 
-    Combined to (event, visit, day) before anything else is shuffled: hit counts survive as
-    partial sums, and visits and days are counted from the combined rows.
+    Hits are combined by (event, day). Visits carry their steps as bits of a long, so the
+    shuffle by visit holds a key and a word whatever the number of steps.
     """
     hits = df.agg(F.count(F.lit(1))).scalar()
-    rows = _carrying(df, events, list(steps), F.to_date(as_col(day)).alias("date"), visit.alias("visit"))
-    by_visit = (rows.where("visit is not null").select("event_id", "visit").distinct()
-                .groupBy("event_id").agg(F.count(F.lit(1)).alias("visits")))
+    ids = list(steps)
+    flagged = df.select(visit.alias("visit"), event_presence(events).alias("ids")).where("visit is not null").select(
+        "visit", *flag_words([F.array_contains("ids", i) for i in ids]))
+    per_visit = flagged.groupBy("visit").agg(*or_words(len(ids)))
+    counts = per_visit.agg(*[count_flag(i).alias(f"v{i}") for i in range(len(ids))])
+    by_visit = counts.select(F.inline(F.array(*[
+        F.struct(F.lit(e).alias("event_id"), F.col(f"v{i}").alias("visits")) for i, e in enumerate(ids)])))
+    rows = _carrying(df, events, ids, F.to_date(as_col(day)).alias("date"))
     by_day = rows.groupBy("event_id", "date").agg(F.count(F.lit(1)).alias("n")).groupBy("event_id").agg(
         F.sum("n").alias("hits"), F.count("date").alias("active_days"),
         F.min("date").alias("first_seen"), F.max("date").alias("last_seen"))

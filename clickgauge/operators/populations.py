@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import pv_bucket
+from ..functions.keys import count_flag, flag_words, or_words, pv_bucket
 from ..functions.predicates import LinkRule, any_rule, no_null, rule_match
-from ..functions.text import as_col, count_where, flag, ratio0, share_where
+from ..functions.text import as_col, count_where, ratio0, share_where
 from .joins import combine_single_rows, visit_overlap
 
 
@@ -69,10 +69,10 @@ def population_series(df: DataFrame, day: str, populations: Mapping[str, Column]
 
 def rule_visit_contrib(df: DataFrame, rules: Sequence[LinkRule], href: str, visit: Column) -> DataFrame:
     """Distinct visits per rule, all rules in one pass."""
-    per = df.select(visit.alias("_v"), *[flag(rule_match(r, href)).alias(r.key) for r in rules]).where("_v is not null").groupBy("_v").agg(
-        *[F.max(r.key).alias(r.key) for r in rules])
+    flagged = df.select(visit.alias("_v"), *flag_words([rule_match(r, href) for r in rules])).where("_v is not null")
+    per = flagged.groupBy("_v").agg(*or_words(len(rules)))
     rows = F.array(*[F.struct(F.lit(r.key).alias("rule"), F.col(r.key).alias("visits")) for r in rules])
-    return per.agg(*[F.sum(r.key).alias(r.key) for r in rules]).select(F.inline(rows))
+    return per.agg(*[count_flag(i).alias(r.key) for i, r in enumerate(rules)]).select(F.inline(rows))
 
 
 def population_verdict(daily: DataFrame, floor: int = 100) -> DataFrame:

@@ -140,18 +140,21 @@ def url_inventory(df: DataFrame, columns: Sequence[str], day: str, tags: Mapping
     """One row per host, path, prefix and tags: hits, days, first and last day, fill of each
     source column. Blank urls keep a bucket of their own.
 
-    ``tags`` are columns over ``hp`` (stripped host/path), ``host`` and ``path``. Two levels:
-    (grain, day) with map-side combine, then the grain, so a hot url is one row per task and day.
+    ``tags`` are columns over ``hp`` (stripped host/path), ``host`` and ``path``. Hits are first
+    combined by (url without query, day): the parsing runs once per distinct url and day, and a
+    hot url is one row per task.
     """
-    hp = url_strip(url_coalesce(*columns))
-    base = df.select(F.col(day).alias("day"), hp.alias("hp"),
-                     *[nonblank(c).cast("int").alias(f"src_{i}") for i, c in enumerate(columns)])
+    fills = [f"src_{i}" for i in range(len(columns))]
+    bare = F.substring_index(F.substring_index(url_coalesce(*columns), "?", 1), "#", 1)
+    hits = df.select(F.col(day).alias("day"), bare.alias("url"),
+                     *[nonblank(c).cast("int").alias(f) for f, c in zip(fills, columns)])
+    urls = hits.groupBy("url", "day").agg(F.count(F.lit(1)).alias("hits"), *[F.sum(f).alias(f) for f in fills])
+    base = urls.select("day", "hits", *fills, url_strip("url").alias("hp"))
     base = base.withColumn("host", host_bucket(F.col("hp"))).withColumn("path", path_bucket(F.col("hp")))
     base = base.withColumn("path_prefix", path_prefix(path_generalize_ids("path"), depth))
     base = base.withColumns(dict(tags))
     grain = ["host", "path", "path_prefix", *tags]
-    fills = [f"src_{i}" for i in range(len(columns))]
-    per_day = base.groupBy(*grain, "day").agg(F.count(F.lit(1)).alias("hits"), *[F.sum(c).alias(c) for c in fills])
+    per_day = base.groupBy(*grain, "day").agg(F.sum("hits").alias("hits"), *[F.sum(c).alias(c) for c in fills])
     out = per_day.groupBy(*grain).agg(
         F.sum("hits").alias("hits"), F.count("day").alias("active_days"), F.min("day").alias("first_seen"),
         F.max("day").alias("last_seen"), *[F.sum(c).alias(f"src_{n}_nb") for c, n in zip(fills, columns)])

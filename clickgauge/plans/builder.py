@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.events import list_ids
-from ..functions.keys import page_view_flag, pv_bucket
+from ..functions.keys import count_flag, flag_words, or_words, page_view_flag, pv_bucket
 from ..functions.text import count_where, ratio0
 from ..operators.calendar import calendar_spine, stack_on_calendar
 from .registry import Registry, SeriesSpec
@@ -30,9 +30,6 @@ from .registry import Registry, SeriesSpec
 DATE = "date"
 
 
-WORD = 60  # flags per long
-
-
 def _claimed(dim: str, specs: list[SeriesSpec]) -> list[str]:
     return [s.dim_value for s in specs if s.dim == dim and s.dim_value is not None]
 
@@ -92,30 +89,18 @@ def _event_occurrences(hits: DataFrame, reg: Registry) -> DataFrame:
     return counted.groupBy(DATE).agg(*aggs)
 
 
-def _flag_words(reg: Registry) -> tuple[list[Column], dict[str, tuple[int, int]]]:
-    """Per hit, the cells it carries as bits; and where each count column's bit is."""
-    cube, words, place = reg.of("event_dim"), [], {}
-    for i, s in enumerate(_event_specs(reg)):
-        word, bit = divmod(i, WORD)
-        carried = F.array_contains("_ids", s.event_id)
-        if s.dim:
-            carried = carried & _in_bucket(s, cube)
-        value = F.when(carried, F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long"))
-        if bit == 0:
-            words.append(value)
-        else:
-            words[word] = words[word].bitwiseOR(value)
-        place[_count_column(s)] = (word, bit)
-    return words, place
+def _carried(spec: SeriesSpec, cube: list[SeriesSpec]) -> Column:
+    has = F.array_contains("_ids", spec.event_id)
+    return has & _in_bucket(spec, cube) if spec.dim else has
 
 
 def _visit_grain(hits: DataFrame, reg: Registry) -> DataFrame:
     keep, per_visit, per_day = [], [], [F.count(F.lit(1)).alias("visits")]
     if reg.event_basis == "visits":
-        words, place = _flag_words(reg)
-        keep += [w.alias(f"_w{i}") for i, w in enumerate(words)]
-        per_visit += [F.bit_or(f"_w{i}").alias(f"_w{i}") for i in range(len(words))]
-        per_day += [F.sum(F.getbit(f"_w{w}", F.lit(bit)).cast("long")).alias(name) for name, (w, bit) in place.items()]
+        specs, cube = _event_specs(reg), reg.of("event_dim")
+        keep += flag_words([_carried(s, cube) for s in specs])
+        per_visit += or_words(len(specs))
+        per_day += [count_flag(i).alias(_count_column(s)) for i, s in enumerate(specs)]
     buckets = reg.of("visit_pv_bucket")
     if buckets:
         keep.append(F.col("_pv"))
