@@ -19,7 +19,7 @@ SUB = f"sub as (select * from urls where {INC})"
 
 
 def sub(h):
-    return h.where(P.like_any(url_of(), INCLUDE))
+    return h.where(P.scope_url(url_of(), INCLUDE))
 
 
 def _spiked(o):

@@ -138,8 +138,7 @@ def _(h):
 @on_hits("uncovered", f"""select hit_id from urls where (url like '%.example.net%' or url like '%.example.org%')
     and not {EXC} and not {INC}""", URL)
 def _(h):
-    u = url_of()
-    return h.where(P.uncovered(u, r"\.example\.(net|org)", P.like_any(u, EXCLUDE), P.like_any(u, INCLUDE))).select("hit_id")
+    return h.where(P.uncovered(url_of(), r"\.example\.(net|org)", EXCLUDE, INCLUDE)).select("hit_id")
 
 
 @on_hits("mobile_hit", "select hit_id from hits where coalesce(mobileappid, '') <> '' or hit_source like 'sdk%'")

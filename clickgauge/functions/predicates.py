@@ -52,7 +52,7 @@ def _baseline(url: Column, include, exclude, retired, in_time: Column) -> Column
 
 def scope_login_exclude(page_url: Column, hosts: Sequence[str]) -> Column:
     """True for rows to keep. Takes the page url only: link targets may name login hosts."""
-    return ~like_any(page_url, hosts)
+    return bind(page_url, lambda u: ~like_any(u, hosts))
 
 
 def scope_suite(suite: str | Column, suite_id: str, url_scope: Column,
@@ -106,7 +106,7 @@ class Scope:
             cond = _baseline(url, self.include, self.exclude, self.retired, in_time)
         elif self.include:
             cond = _included(url, self.include, self.exclude)
-        return cond & scope_login_exclude(url, self.login_hosts) if self.login_hosts else cond
+        return cond & ~like_any(url, self.login_hosts) if self.login_hosts else cond
 
 
 # Hit sources that are uploads rather than visits.
@@ -142,8 +142,9 @@ def brand_tag_match(c: str | Column, *parts: str) -> Column:
     return no_null(cond)
 
 
-def uncovered(hp: Column, category: str, noise: Column, in_scope: Column) -> Column:
-    return no_null(hp.rlike(category)) & ~no_null(noise) & ~no_null(in_scope)
+def uncovered(hp: Column, category: str, noise: Sequence[str], include: Sequence[str]) -> Column:
+    """Urls of a category that are neither noise nor in scope."""
+    return bind(hp, lambda u: no_null(u.rlike(category)) & ~like_any(u, noise) & ~like_any(u, include))
 
 
 MOBILE_SOURCE_PATTERN = "^(mobile|sdk|app_measurement)"

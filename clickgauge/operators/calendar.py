@@ -28,15 +28,10 @@ def stack_on_calendar(spine: DataFrame, frames: list[DataFrame], counts: list[st
                       on: str = "date") -> DataFrame:
     """Merge per-day counts onto the calendar with one aggregate instead of one join each.
 
-    Every frame has one row per day at most and lacks some of the counts; missing ones are
-    zero, so the sum per day is the zero-filled merge.
+    Every frame has one row per day at most and lacks some of the counts, so the sum per day
+    is the merge; what no frame has is zero.
     """
-    def widen(f: DataFrame) -> DataFrame:
-        have = set(f.columns)
-        return f.select(on, *[(F.col(f"`{c}`") if c in have else F.lit(0)).cast("long").alias(c)
-                              for c in counts])
-
-    stacked = widen(spine)
+    stacked = spine.select(on)
     for f in frames:
-        stacked = stacked.unionByName(widen(f))
-    return stacked.groupBy(on).agg(*[F.sum(f"`{c}`").alias(c) for c in counts])
+        stacked = stacked.unionByName(f, allowMissingColumns=True)
+    return stacked.groupBy(on).agg(*[F.coalesce(F.sum(f"`{c}`"), F.lit(0)).cast("long").alias(c) for c in counts])

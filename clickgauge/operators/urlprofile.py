@@ -73,7 +73,7 @@ def url_scope_breakdown(tagged: DataFrame) -> DataFrame:
 
 
 def top_addable(tagged: DataFrame, k: int = 25) -> DataFrame:
-    n = tagged.where("addable").groupBy("section", "lang", "alt_domain").agg(F.count(F.lit(1)).alias("n"))
+    n = tagged.groupBy("section", "lang", "alt_domain").agg(count_where(F.col("addable")).alias("n")).where("n > 0")
     return top_n(n, k, "n", "section", "lang")
 
 
