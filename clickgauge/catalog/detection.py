@@ -115,7 +115,7 @@ def _(o):
     return stamped(D.detect_univariate(order_gold(o), ORDER_REG)).select(*D.ANOMALY_COLUMNS)
 
 
-@on_orders("level_shift_scores", "select date, metric_id, round(zz, 6) as z from shift", *REGION)
+@on_orders("level_shift_scores", "select date, metric_id, round(zz, 6) + 0.0 as z from shift", *REGION)
 def _(o):
     return rounded(D.level_shift_scores(order_gold(o), ORDER_REG).select("date", "metric_id", "z"), "z", digits=6)
 

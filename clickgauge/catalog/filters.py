@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..functions import text as T
 from ..functions import url as U
 from .base import on_hits
 from .expressions import COALESCED, URL_COLS

@@ -1,7 +1,6 @@
 """Scans, sinks, incremental control and the daily run."""
 from __future__ import annotations
 
-from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
