@@ -1,6 +1,7 @@
 """Column helpers shared by the text operators."""
 from __future__ import annotations
 
+import os
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,3 +45,10 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
 
 def digest(c: Column) -> Column:
     return F.sha2(c.cast("binary"), 256)
+
+
+def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers find this package where the driver did; a cluster may also install it."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", home)
+    return df.mapInArrow(fn, schema)

@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licences, rules, secrets
+from . import decontam, licences, linededup, packing, rules, secrets, simhash
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,23 @@ def op4_secrets(spark, sf_dir):
 @register("op10_quality_rules")
 def op10_quality_rules(spark, sf_dir):
     return rules.judged(read(spark, sf_dir, "documents"))
+
+
+@register("op2_simhash")
+def op2_simhash(spark, sf_dir):
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@register("op7_packing")
+def op7_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"), packing.tokenizer_path())
+
+
+@register("op1_line_dedup", linededup.SQL)
+def op1_line_dedup(spark, sf_dir):
+    return linededup.dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_boilerplate", "n_removed", "text")
+
+
+@register("op5_decontamination", decontam.SQL)
+def op5_decontamination(spark, sf_dir):
+    return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
