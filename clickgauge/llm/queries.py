@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, licences, linededup, packing, rules, secrets, simhash
+from . import decontam, langid, licences, linededup, packing, quality, rules, secrets, simhash, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,18 @@ def op1_line_dedup(spark, sf_dir):
 @register("op5_decontamination", decontam.SQL)
 def op5_decontamination(spark, sf_dir):
     return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@register("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    return toxicity.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@register("op8_quality")
+def op8_quality(spark, sf_dir):
+    return quality.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@register("op9_language")
+def op9_language(spark, sf_dir):
+    return langid.predicted(read(spark, sf_dir, "documents"))
