@@ -134,3 +134,27 @@ def report(scanned: DataFrame) -> DataFrame:
     return scanned.select("doc_id", F.size("sentences").cast("bigint").alias("n_sentences"),
                           F.array_join(F.transform("sentences", lambda x: F.concat_ws(":", x["sentence"], x["id"])), ",").alias("sentences"),
                           F.size("licences").cast("bigint").alias("n_matches"), F.array_join(names, ",").alias("licences"))
+
+
+def sql() -> str:
+    """The same scan in SQL, from the same tables."""
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    named = " ".join(f"when regexp_matches(x.s, {quoted(p)}) then {quoted(n)}" for n, p in SENTENCES.items())
+    longest_first = sorted(RULES, key=lambda r: -len(r[1]))
+    rules = " ".join(f"when {quoted(_token(ids))} then {quoted(n)}" for n, ids in longest_first)
+    pattern = quoted("|".join(_token(ids) for _, ids in longest_first))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+with d as (select doc_id, string_split_regex(coalesce(text, ''), '[.!?;]+[ \t\r\n]|\n') as ss from documents),
+l as (select doc_id, list_filter(list_transform(ss, lambda x, i: {{'i': i - 1, 's': x}}), lambda x: regexp_matches(x.s, {quoted(HINT)})) as c from d),
+n as (select doc_id, list_transform(c, lambda x: {{'i': x.i, 's': replace(trim(regexp_replace(translate(x.s, '{upper}', '{lower}'),
+  '[^a-z0-9.,]+', ' ', 'g'), ' .,'), ',', '')}}) as c from l),
+k as (select doc_id, list_filter(list_transform(c, lambda x: {{'i': x.i, 'id': case {named} end}}), lambda x: x.id is not null) as c from n),
+m as (select doc_id, c, list_transform(regexp_extract_all(coalesce(array_to_string(list_transform(c, lambda x: '<' || x.id || '>'), ''), ''),
+  {pattern}), lambda x: case x {rules} end) as ls from k)
+select doc_id, len(c) as n_sentences, coalesce(array_to_string(list_transform(c, lambda x: x.i || ':' || x.id), ','), '') as sentences,
+  len(ls) as n_matches, coalesce(array_to_string(list_sort(list_distinct(ls)), ','), '') as licences
+from m
+"""

@@ -21,17 +21,17 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
-@register("op3_licences")
+@register("op3_licences", licences.sql())
 def op3_licences(spark, sf_dir):
     return licences.report(licences.scan(read(spark, sf_dir, "documents")))
 
 
-@register("op4_secrets")
+@register("op4_secrets", secrets.sql())
 def op4_secrets(spark, sf_dir):
     return secrets.report(secrets.scan(read(spark, sf_dir, "documents")))
 
 
-@register("op10_quality_rules")
+@register("op10_quality_rules", rules.SQL)
 def op10_quality_rules(spark, sf_dir):
     return rules.judged(read(spark, sf_dir, "documents"))
 

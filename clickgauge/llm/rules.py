@@ -167,3 +167,22 @@ def judged(docs: DataFrame, rules=RULES, base=BASE, id_col: str = "doc_id", text
         failed = failed | by_name[name].rejects(have)
     return out.select("doc_id", *shown, failed.alias("base_failed"),
                       verdict(order, have, F.col("_t")).isNull().alias("kept"))
+
+
+SQL = r"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+w as (select doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d),
+g as (select doc_id, s, array_to_string(w[s:s + 7], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 6)) as s from w where len(w) >= 8)),
+r as (select doc_id, s from g qualify count(*) over (partition by doc_id, g) > 1),
+c as (select doc_id, count(distinct p) as n from (select doc_id, unnest(range(s, s + 8)) as p from r) group by doc_id),
+m as (select w.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+  length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols, len(ls) - len(list_distinct(ls)) as n_dup_lines,
+  coalesce(c.n, 0) as n_repeat_words, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) as n_capitals,
+  len(list_filter(w, lambda x: length(x) = 1)) as n_alone from w left join c using (doc_id)),
+b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not (base_failed or 100 * n_symbols > 5 * word_chars or 100 * n_capitals > 50 * word_chars or word_chars < 2 * n_words
+    or word_chars > 20 * n_words or 100 * n_alone > 50 * n_words or 5 * n_dup_lines > n_words) as kept
+from b
+"""

@@ -137,3 +137,40 @@ def report(scanned: DataFrame) -> DataFrame:
 
     return scanned.select("doc_id", *[count(i, k) for i, k in enumerate(STRONG)], digest(listed(F.col("strong"))).alias("base_sha256"),
                           listed(F.array_sort(F.concat("strong", "linked"))).alias("spans"))
+
+
+def _any_case(pattern: str) -> str:
+    """The pattern with each letter of its keywords in either case, without a flag."""
+    head, _, tail = pattern.removeprefix("(?i)").partition(")")
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in head) + ")" + tail
+
+
+def sql(reach: int = REACH) -> str:
+    """The same scan in SQL, linking by comparison of all spans of a document."""
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    patterns = dict(zip(KINDS, (_any_case(ASSIGN), ACCESS, HEX, _any_case(ACCOUNT), KEY40, ENDPOINT)))
+    found = " union all ".join(f"select doc_id, {quoted(k)} as kind, {i} as k, string_split_regex(t, {quoted(r)}) as ps, "
+                               f"regexp_extract_all(t, {quoted(r)}) as hs from d where regexp_matches(t, {quoted(r)})"
+                               for i, (k, r) in enumerate(patterns.items()))
+    roles = " or ".join(f"(w.kind = {quoted(k)} and p.kind in ({', '.join(quoted(x) for x, has in SERVES.items() if need in has)}))"
+                        for k, need in NEEDS.items())
+    strong = ", ".join(map(quoted, STRONG))
+    counts = ", ".join(f"count(*) filter (kind = '{k}') as n_{k}" for k in STRONG)
+    return rf"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+m as ({found}),
+u as (select doc_id, kind, k, ps, hs, unnest(range(1, len(hs) + 1)) as i from m),
+s as (select doc_id, kind, k, hs[i] as h, cast(list_sum(list_transform(ps[1:i], lambda x: length(x)))
+  + coalesce(list_sum(list_transform(hs[1:i - 1], lambda x: length(x))), 0) as bigint) as st from u),
+f as (select doc_id, kind, k, st, st + length(h) as en from s where case kind
+  when 'assign' then length(regexp_extract(h, {quoted(patterns['assign'])}, 2)) >= {LEAST_VALUE}
+  when 'key40' then length(h) = 40 and not regexp_matches(h, '^[0-9a-f]+$|^[A-Z]+$|^[a-z]+$') else true end),
+kept as (select * from f w where kind in ({strong}) or exists (select 1 from f p where p.doc_id = w.doc_id and ({roles})
+  and p.st <= w.en + {reach} and p.en >= w.st - {reach})),
+g as (select doc_id, {counts}, string_agg(kind || ':' || st || ':' || en, ',' order by st, k) filter (kind in ({strong})) as base,
+  string_agg(kind || ':' || st || ':' || en, ',' order by st, k, en) as spans from kept group by doc_id)
+select d.doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in STRONG)}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join g using (doc_id)
+"""
