@@ -50,8 +50,8 @@ def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_s
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site: str = "source",
-          min_sites: int = MIN_SITES) -> DataFrame:
-    """The documents with ``text`` cleaned, and n_lines, n_boilerplate and n_removed (long) appended."""
+          min_sites: int = MIN_SITES, report: bool = True) -> DataFrame:
+    """The documents with ``text`` cleaned; ``report`` adds n_lines, n_boilerplate and n_removed (long)."""
     known = boilerplate(docs, text, site, min_sites)
     keyed = docs.select(row_key(id_col, text).alias("__line_key"), F.posexplode(_hashes(whole(text))).alias("__line", "h"))
     marks = (keyed.where(F.col("h").isNotNull()).join(known, "h", "left_semi")
@@ -68,12 +68,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site: str
 
     lines = F.split(whole(text), "\n")
     made = marked.withColumn("__clean", F.when(F.col("__marked").isNotNull(), bind(lines, clean)))
-    count = F.size(F.filter(lines, lambda x: _trimmed(x) != "")).cast("bigint")
-    n_marked = F.coalesce(F.size("__marked"), F.lit(0)).cast("bigint")
-    n_marked = F.when(F.col("__marked").isNull(), F.lit(0).cast("bigint")).otherwise(n_marked)
-    return (made.withColumn("n_lines", count).withColumn("n_boilerplate", n_marked)
-            .withColumn("n_removed", F.when(F.col("__clean").isNull(), F.lit(0).cast("bigint")).otherwise(F.col("n_boilerplate")))
-            .withColumn(text, F.coalesce("__clean", F.col(text))).drop("__clean", "__marked"))
+    if report:
+        marks_n = F.when(F.col("__marked").isNull(), F.lit(0)).otherwise(F.size("__marked")).cast("bigint")
+        made = (made.withColumn("n_lines", F.size(F.filter(lines, lambda x: _trimmed(x) != "")).cast("bigint")).withColumn("n_boilerplate", marks_n)
+                .withColumn("n_removed", F.when(F.col("__clean").isNull(), F.lit(0).cast("bigint")).otherwise(F.col("n_boilerplate"))))
+    return made.withColumn(text, F.coalesce("__clean", F.col(text))).drop("__clean", "__marked")
 
 
 SQL = r"""

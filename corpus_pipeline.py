@@ -22,7 +22,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without lines that many sites share; ``n_chars`` follows the text."""
-    cleaned = linededup.dedup(docs).select(*docs.columns)
+    cleaned = linededup.dedup(docs, report=False)
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
