@@ -1,9 +1,10 @@
 """Token ids of whole texts, through a cache of word pieces.
 
-Most of a corpus is a small set of words, so ids are looked up per blank-separated piece and the
-tokenizer itself is asked once for each new one. That equals tokenizing the whole text because the
-tokenizer's own pre-tokenizer never joins across white space; texts with characters for which its
-normaliser does more than ASCII and Latin lower-casing go to the tokenizer whole.
+Most of a corpus is a small set of words, so ids are looked up per blank-separated piece. A new piece
+is cut into words, digits and signs as the tokenizer's own pre-tokenizer cuts it, and its model is asked
+once for each new one of those. That equals tokenizing the whole text because the pre-tokenizer never
+joins across white space; texts with characters for which its normaliser does more than ASCII and Latin
+lower-casing go to the tokenizer whole.
 """
 from __future__ import annotations
 
@@ -11,9 +12,13 @@ import array
 import os
 import re
 
-CACHE_ENTRIES = 400_000
+import regex
+
+CACHE_ENTRIES = 700_000
 #: Anything beyond printable ASCII, the usual blanks and the Latin blocks, or the start of a special token.
 UNUSUAL = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0ɐ-\U0010ffff]|<\\|")
+#: Fixed value: how the vocabulary's file cuts words.
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
 class WordTokens:
@@ -21,13 +26,22 @@ class WordTokens:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self._tokenizer = Tokenizer.from_file(path)
+        self._bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._pieces: dict[str, bytes] = {}
+        self._parts: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return array.array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _part(self, part: str) -> bytes:
+        found = self._parts.get(part)
+        if found is None:
+            mapped = part if part.isascii() else self._bytes.pre_tokenize_str(part)[0][0]
+            found = self._parts[part] = array.array("I", [t.id for t in self._tokenizer.model.tokenize(mapped)]).tobytes()
+        return found
+
     def ids(self, text: str) -> bytes:
         if UNUSUAL.search(text):
             return self.whole(text)
@@ -37,10 +51,11 @@ class WordTokens:
             return b"".join([pieces[w] for w in words])
         except KeyError:
             pass
-        if len(pieces) > CACHE_ENTRIES:
-            pieces.clear()
-        new = [w for w in dict.fromkeys(words) if w not in pieces]
-        # as one text the new pieces cost no more than their share; their places give back each one's ids
-        for w, e in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            pieces[w] = array.array("I", e.ids).tobytes()
+        for held in (pieces, self._parts):
+            if len(held) > CACHE_ENTRIES:
+                held.clear()
+        part = self._part
+        for w in words:
+            if w not in pieces:
+                pieces[w] = part(w) if w.isascii() and w.isalpha() else b"".join([part(p) for p in PARTS.findall(w)])
         return b"".join([pieces[w] for w in words])
