@@ -178,8 +178,7 @@ def _(h):
     return EV.ts_events_top(h, "hit_date", "raw_event_list", 3, ["103", "999"])
 
 
-@on_hits("exclude_source_crosstab", """select exclude_hit, hit_source, count(*) as n, round(100.0 * count(*) / (select count(*) from hits), 3) as pct from hits group by 1, 2
-    order by n desc, exclude_hit nulls first, hit_source nulls first limit 20""")
+@on_hits("exclude_source_crosstab", """select exclude_hit, hit_source, count(*) as n, round(100.0 * count(*) / (select count(*) from hits), 3) as pct from hits group by 1, 2""")
 def _(h):
     return FQ.crosstab_pct(h, "exclude_hit", "hit_source")
 

@@ -100,6 +100,10 @@ def _hosts(h, k=50):
     return UP.top_hosts(h, U.url_host(U.host_path(url_of())), k)
 
 
+def _all_hosts(h):
+    return UP.host_shares(h, U.url_host(U.host_path(url_of())))
+
+
 @on_hits("top_hosts", "select * from hosts", *HOSTS)
 def _(h):
     return _hosts(h)
@@ -185,33 +189,43 @@ def _share_frame(h, column):
     return n.withColumn("pct", T.pct(F.col("n"), h.agg(F.count(F.lit(1))).scalar()))
 
 
-TIERS = (*HOSTS, "hr as (select *, row_number() over (order by n desc, host) as r, cumulative_pct - coalesce(lag(cumulative_pct) over (order by n desc, host), 0.0) as own, env in ('prod', 'uat') as served, "
-         "coalesce(lag(cumulative_pct) over (partition by env in ('prod', 'uat') order by n desc, host), 0.0) as reached from hosts)",
-         "su as (select rsid as v, round(100.0 * count(*) / (select count(*) from hits), 3) as pct, row_number() over (order by count(*) desc, rsid) as r from hits group by 1)",
-         "ge as (select geo_country as v, round(100.0 * count(*) / (select count(*) from hits), 3) as pct, row_number() over (order by count(*) desc, geo_country) as r from hits where geo_country <> '' group by 1)",
-         "tiers as (select 'tight' as tier, (select v from su where r = 1) as suites, '%' || (select host from hr where env = 'prod' order by r limit 1) || '%' as url_include, "
-         "array_to_string(list_concat(['%adobeaemcloud.com%'], (select list('%' || host || '%' order by r) from hr where env <> 'prod')), ',') as url_exclude, (select string_agg('%' || host || '%', ',' order by r) from hr where regexp_matches(host, 'portal|login|auth|signin|member|sso')) as login_exclude, "
-         "(select v from ge where r = 1) as countries, round(least((select pct from su where r = 1), (select own from hr where env = 'prod' order by r limit 1)), 3) as cov "
-         "union all select 'medium', (select string_agg(v, ',' order by r) from su where pct >= 1.0), (select string_agg('%' || host || '%', ',' order by r) from hr where served and reached < 95.0), "
-         "'%adobeaemcloud.com%', (select string_agg('%' || host || '%', ',' order by r) from hr where regexp_matches(host, 'portal|login|auth|signin|member|sso')), "
-         "(select string_agg(v, ',' order by r) from ge where pct >= 1.0), round(least((select sum(pct) from su where pct >= 1.0), (select max(cumulative_pct) from hr where served)), 3) "
-         "union all select 'broad', (select string_agg(v, ',' order by r) from su), '', '%adobeaemcloud.com%', '', '', 100.0)")
+ALL_HOSTS = (URL, UHP, f"hosts as (select host, n, round(100.0 * n / sum(n) over (), 3) as pct, {ENV.format(h='host')} as env from "
+             "(select string_split(hp, '/')[1] as host, count(*) as n from uhp where hp <> '' group by 1))")
+EXCLUDED = ("%cms.example.com%",)
+LOGIN_SQL = "regexp_matches(host, '(?i)portal|portail|login|auth|signin|member|sso')"
+TIERS = (*ALL_HOSTS,
+         "su as (select rsid as v, count(*) as n, round(100.0 * count(*) / (select count(*) from hits), 3) as pct from hits where trim(rsid) <> '' group by 1)",
+         "ge as (select geo_country as v, count(*) as n, round(100.0 * count(*) / (select count(*) from hits), 3) as pct from hits where trim(geo_country) <> '' group by 1)",
+         "th as (select * from hosts order by (env = 'prod') desc, n desc, host limit 1)",
+         "mh as (select * from hosts h where env in ('prod', 'uat') and 100.0 * (select coalesce(sum(n), 0) from hosts g where g.env in ('prod', 'uat') and g.n > h.n) "
+         "< 95.0 * (select sum(n) from hosts where env in ('prod', 'uat')))",
+         "ts as (select * from su order by n desc, v limit 1)", "tg as (select * from ge order by n desc, v limit 1)")
+
+
+@on_hits("scope_tiers", f"""select 'tight' as tier, 'suite' as part, v as value from ts union all select 'medium', 'suite', v from su where pct >= 1.0 union all select 'broad', 'suite', v from su
+    union all select 'tight', 'include', '%' || host || '%' from th union all select 'medium', 'include', '%' || host || '%' from mh
+    union all select 'tight', 'exclude', '%' || host || '%' from hosts where env <> 'prod' union all select 'medium', 'exclude', '%' || host || '%' from hosts where env = 'aem_authoring'
+    union all select t, 'exclude', '{EXCLUDED[0]}' from (select unnest(['tight', 'medium', 'broad']) as t)
+    union all select t, 'login', '%' || host || '%' from hosts, (select unnest(['tight', 'medium']) as t) where {LOGIN_SQL}
+    union all select 'tight', 'country', v from tg union all select 'medium', 'country', v from ge where pct >= 1.0""", *TIERS)
+def _(h):
+    return UP.scope_tiers(_all_hosts(h), _share_frame(h, "rsid"), _share_frame(h, "geo_country"), EXCLUDED)
 
 
-@on_hits("scope_tiers", "select tier, suites, url_include, url_exclude, login_exclude, countries, cov::double as hit_coverage_pct, round((select count(*) from hits) * cov / 100.0)::bigint as row_estimate from tiers", *TIERS)
+@on_hits("tier_coverage", """select tier, cov as hit_coverage_pct, round((select count(*) from hits) * cov / 100.0)::bigint as row_estimate from (
+    select 'tight' as tier, round(least((select sum(pct) from ts), (select sum(pct) from th)), 3)::double as cov union all
+    select 'medium', round(least((select sum(pct) from su where pct >= 1.0), (select sum(pct) from mh)), 3)::double union all select 'broad', 100.0::double)""", *TIERS)
 def _(h):
-    out = UP.scope_tiers(_hosts(h), _share_frame(h, "rsid"), _share_frame(h, "geo_country"), h.agg(F.count(F.lit(1))).scalar())
-    lists = ("suites", "url_include", "url_exclude", "login_exclude", "countries")
-    return out.select("tier", *[F.array_join(c, ",").alias(c) for c in lists], "hit_coverage_pct", "row_estimate")
+    return UP.tier_coverage(_all_hosts(h), _share_frame(h, "rsid"), h.agg(F.count(F.lit(1))).scalar())
 
 
-PAGE_HOSTS = "pg as (select string_split(hp, '/')[1] as host, count(*) as n from parts group by 1)"
+PAGE_HOSTS = "pg as (select string_split(hp, '/')[1] as host, count(*) as n from parts where hp <> '' group by 1)"
 
 
-@on_pages("unclassified_hosts", f"""select host, n, pct from (select host, n, round(100.0 * n / (select sum(n) from pg), 3) as pct, {ENV.format(h='host')} as env from pg order by n desc, host limit 100)
+@on_pages("unclassified_hosts", f"""select host, n, pct from (select host, n, round(100.0 * n / (select sum(n) from pg), 3) as pct, {ENV.format(h='host')} as env from pg)
     where env = 'prod' and pct >= 0.1 and pct < 1.0""", PARTS, PAGE_HOSTS)
 def _(p):
-    return UP.unclassified_hosts(UP.top_hosts(p, U.url_host(U.host_path("url")), 100)).select("host", "n", "pct")
+    return UP.unclassified_hosts(UP.host_shares(p, U.url_host(U.host_path("url")))).select("host", "n", "pct")
 
 
 @on_pages("referrer_hosts", "select string_split(hp, '/')[1] as host, count(*) as n from parts group by 1 order by n desc, host limit 25", PARTS)

@@ -10,11 +10,12 @@ from ..functions.text import as_col, pct
 from .census import top_n
 
 
-def crosstab_pct(df: DataFrame, a: str, b: str, k: int = 20) -> DataFrame:
-    """Joint distribution of two code columns, measured before any filter."""
+def crosstab_pct(df: DataFrame, a: str, b: str, k: int | None = None) -> DataFrame:
+    """Joint distribution of two code columns, measured before any filter: every pair, or the ``k`` largest."""
     n = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
     total = n.agg(F.sum("n")).scalar()
-    return top_n(n, k, "n", a, b).withColumn("pct", pct(F.col("n"), total))
+    shown = n if k is None else top_n(n, k, "n", a, b)
+    return shown.withColumn("pct", pct(F.col("n"), total))
 
 
 def clock_skew(df: DataFrame, local: Column, epoch: str | Column, exact: bool = False) -> DataFrame:

@@ -14,7 +14,6 @@ from .census import distinct_of, top_n
 from .series import cumulative_pct
 
 LOGIN_PATTERN = "(?i)portal|portail|login|auth|signin|member|sso"
-AEM_EXCLUDE = "%adobeaemcloud.com%"
 
 
 def sections(hp: Column, n: int = 5) -> Column:
@@ -204,74 +203,88 @@ def top_uncovered(rollup: DataFrame, uncovered: Column, k: int = 25) -> DataFram
     return top_n(rollup.where(uncovered), k, "hits", "host", "path_prefix")
 
 
-def unclassified_hosts(hosts: DataFrame) -> DataFrame:
-    """Production hosts of some size, but below one percent."""
-    return hosts.where((F.col("env") == "prod") & (F.col("pct") >= 0.1) & (F.col("pct") < 1.0))
+def host_shares(df: DataFrame, host: Column) -> DataFrame:
+    """Every host with its hits, share in percent and environment."""
+    n = df.select(host.alias("host")).where("host <> ''").groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    total = n.agg(F.sum("n")).scalar()
+    return n.withColumn("pct", pct(F.col("n"), total)).withColumn("env", host_env_tag("host"))
+
+
+def unclassified_hosts(hosts: DataFrame, least: float = 0.1, below: float = 1.0) -> DataFrame:
+    """Production hosts of some size, but below one percent, out of all of ``host_shares``."""
+    return hosts.where((F.col("env") == "prod") & (F.col("pct") >= least) & (F.col("pct") < below))
+
 
+def _covering(hosts: DataFrame, share: float) -> DataFrame:
+    """The served hosts (production and acceptance) that make up ``share`` percent of their hits, largest first.
 
-def _like(host: Column) -> Column:
-    return F.concat(F.lit("%"), host, F.lit("%"))
+    A host belongs if those with strictly more hits have less than that; hosts of equal size go together.
+    The running sum is over distinct sizes, which are few (their number squared is below twice the hits)."""
+    served = hosts.where(F.col("env").isin("prod", "uat"))
+    sizes = served.groupBy("n").agg((F.count(F.lit(1)) * F.col("n")).alias("_hits"))
+    before = Window.partitionBy(F.lit(1)).orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    needed = (sizes.withColumn("_before", F.coalesce(F.sum("_hits").over(before), F.lit(0)))
+              .withColumn("_all", F.sum("_hits").over(Window.partitionBy(F.lit(1))))
+              .where(100.0 * F.col("_before") < share * F.col("_all")).agg(F.min("n")).scalar())
+    return served.where(F.col("n") >= needed)
 
 
-def _ordered(value: Column, keep: Column, order: Column, limit: int | None = None) -> Column:
-    """Values that pass ``keep``, in rank order, as an array (inputs are top-k lists)."""
-    pairs = F.array_sort(F.collect_list(F.when(keep, F.struct(order.alias("o"), value.alias("v")))))
-    if limit is not None:
-        pairs = F.slice(pairs, 1, limit)
-    return F.transform(pairs, lambda p: p["v"])
+def _leader(df: DataFrame, name: str) -> DataFrame:
+    return df.orderBy(F.desc("n"), name).limit(1)
 
 
-def scope_tiers(hosts: DataFrame, suites: DataFrame, countries: DataFrame, total_rows: Column) -> DataFrame:
-    """Three ready-made scopes (tight, medium, broad) with coverage and row estimates.
+def _tier_hosts(hosts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Hosts that the tight and the medium tier include."""
+    return hosts.orderBy(F.desc(F.col("env") == "prod"), F.desc("n"), "host").limit(1), _covering(hosts, 95.0)
 
-    ``hosts`` is a :func:`top_hosts` list; ``suites`` and ``countries`` are (value, n, pct).
-    All three are short ranked lists, so they are folded into arrays.
+
+def scope_tiers(hosts: DataFrame, suites: DataFrame, countries: DataFrame, always_exclude: Sequence[str] = ()) -> DataFrame:
+    """(tier, part, value): what three ready-made scopes let in and keep out, one row per value.
+
+    tight: the largest suite, production host and country, without any host that is not production;
+    medium: suites and countries of one percent or more and the hosts that make up 95 % of served hits,
+    without authoring hosts; broad: every suite. Both narrower ones keep out login hosts. ``hosts`` are all
+    of :func:`host_shares`, ``suites`` and ``countries`` all (value, n, pct); nothing is ranked away.
     """
+    top, covering = _tier_hosts(hosts)
+    suite, country = suites.columns[0], countries.columns[0]
+    login = hosts.where(F.col("host").rlike(LOGIN_PATTERN))
+
+    def rows(df, tiers, part, value, like=False):
+        shown = F.concat(F.lit("%"), value, F.lit("%")) if like else F.col(value).cast("string")
+        return df.select(F.explode(F.array(*[F.lit(t) for t in tiers])).alias("tier"), F.lit(part).alias("part"), shown.alias("value"))
+
+    parts = [rows(_leader(suites, suite), ["tight"], "suite", suite), rows(suites.where("pct >= 1.0"), ["medium"], "suite", suite),
+             rows(suites, ["broad"], "suite", suite),
+             rows(top, ["tight"], "include", F.col("host"), True), rows(covering, ["medium"], "include", F.col("host"), True),
+             rows(hosts.where("env <> 'prod'"), ["tight"], "exclude", F.col("host"), True),
+             rows(hosts.where("env = 'aem_authoring'"), ["medium"], "exclude", F.col("host"), True),
+             rows(login, ["tight", "medium"], "login", F.col("host"), True),
+             rows(_leader(countries, country), ["tight"], "country", country), rows(countries.where("pct >= 1.0"), ["medium"], "country", country)]
+    if always_exclude:
+        fixed = hosts.sparkSession.createDataFrame([(t, "exclude", x) for t in ("tight", "medium", "broad") for x in always_exclude],
+                                                   "tier string, part string, value string")
+        parts.append(fixed)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def tier_coverage(hosts: DataFrame, suites: DataFrame, total_rows: Column) -> DataFrame:
+    """Per tier the share of rows it reaches at most (the lesser of its suites' and its hosts') and the rows that makes."""
     from .joins import combine_single_rows
-    rank = Window.partitionBy(F.lit(1)).orderBy(F.desc("n"), "host")
-    served = F.col("env").isin("prod", "uat")
-    by_served = Window.partitionBy(served).orderBy(F.desc("n"), "host")
-    h = (hosts.withColumn("r", F.row_number().over(rank))
-         .withColumn("own", F.col("cumulative_pct") - F.coalesce(F.lag("cumulative_pct").over(rank), F.lit(0.0)))
-         .withColumn("reached", F.coalesce(F.lag("cumulative_pct").over(by_served), F.lit(0.0)))
-         .withColumn("served", served))
-    prod, r = F.col("env") == "prod", F.col("r")
-    first_prod = F.coalesce(F.min_by("host", F.when(prod, r)), F.min_by("host", r))
-    hf = h.agg(
-        first_prod.alias("top_host"), F.coalesce(F.min_by("own", F.when(prod, r)), F.min_by("own", r)).alias("top_cov"),
-        _ordered(_like(F.col("host")), F.col("served") & (F.col("reached") < 95.0), r).alias("medium_include"),
-        _ordered(_like(F.col("host")), ~prod, r, 20).alias("not_prod"),
-        _ordered(_like(F.col("host")), F.col("env") == "aem_authoring", r).alias("authoring"),
-        _ordered(_like(F.col("host")), F.col("host").rlike(LOGIN_PATTERN), r).alias("login"),
-        F.coalesce(F.max(F.when(F.col("served"), F.col("cumulative_pct"))), F.lit(0.0)).alias("medium_cov"))
-
-    def ranked(df, prefix):
-        d = df.select(F.col(df.columns[0]).alias("v"), "n", "pct").withColumn(
-            "r", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("n"), "v")))
-        big = F.col("pct") >= 1.0
-        return d.agg(_ordered(F.col("v"), F.col("r") == 1, F.col("r")).alias(f"{prefix}_top"),
-                     _ordered(F.col("v"), big, F.col("r")).alias(f"{prefix}_big"),
-                     _ordered(F.col("v"), F.lit(True), F.col("r")).alias(f"{prefix}_all"),
-                     F.max(F.when(F.col("r") == 1, F.col("pct"))).alias(f"{prefix}_top_cov"),
-                     F.sum(F.when(big, F.col("pct"))).alias(f"{prefix}_big_cov"))
-
-    n = combine_single_rows(hf, ranked(suites, "suite"), ranked(countries, "geo")).withColumn("total", total_rows)
-    none = F.array().cast("array<string>")
-    aem = F.array(F.lit(AEM_EXCLUDE))
-
-    def tier(label, suite, include, exclude, login, geo, cov):
-        cov = F.round(cov, 3)
-        return F.struct(F.lit(label).alias("tier"), suite.alias("suites"), include.alias("url_include"),
-                        exclude.alias("url_exclude"), login.alias("login_exclude"), geo.alias("countries"),
-                        cov.alias("hit_coverage_pct"), F.round(F.col("total") * cov / 100.0).cast("long").alias("row_estimate"))
-
-    col = F.col
-    return n.select(F.inline(F.array(
-        tier("tight", col("suite_top"), F.array(_like(col("top_host"))), F.concat(aem, col("not_prod")), col("login"),
-             col("geo_top"), F.least(col("suite_top_cov"), col("top_cov"))),
-        tier("medium", col("suite_big"), col("medium_include"), F.concat(aem, col("authoring")), col("login"),
-             col("geo_big"), F.least(col("suite_big_cov"), col("medium_cov"))),
-        tier("broad", col("suite_all"), none, aem, none, none, F.lit(100.0)))))
+    top, covering = _tier_hosts(hosts)
+    sums = [df.agg(F.coalesce(F.sum("pct"), F.lit(0.0)).alias(name)) for name, df in (
+        ("s_tight", _leader(suites, suites.columns[0])), ("s_medium", suites.where("pct >= 1.0")), ("h_tight", top), ("h_medium", covering))]
+    n = combine_single_rows(*sums).withColumn("total", total_rows)
+
+    def tier(label, cov):
+        return F.struct(F.lit(label).alias("tier"), F.round(cov, 3).alias("hit_coverage_pct"),
+                        F.round(F.col("total") * F.round(cov, 3) / 100.0).cast("long").alias("row_estimate"))
+
+    return n.select(F.inline(F.array(tier("tight", F.least("s_tight", "h_tight")), tier("medium", F.least("s_medium", "h_medium")),
+                                     tier("broad", F.lit(100.0)))))
 
 
 def referrer_hosts(df: DataFrame, url: str, k: int = 25) -> DataFrame:

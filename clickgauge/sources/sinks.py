@@ -1,18 +1,19 @@
 """Idempotent writes on plain parquet.
 
 Parquet has no replaceWhere and no MERGE, so window replacement is a dynamic partition
-overwrite plus the removal of partitions that became empty, and the upsert is a rewrite.
-Removal comes last: a run that dies half-way leaves old rows, never a hole, and a re-run
-repairs it.
+overwrite plus the removal of partitions that became empty, and whole tables are replaced by
+renaming a finished version into place. Removal comes last: a run that dies half-way leaves
+old rows, never a hole, and a re-run repairs it.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import materialize
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -33,7 +34,8 @@ def _partition_files(spark: SparkSession, path: str, col: str, start: str) -> di
     if fs.exists(root):
         for entry in fs.listStatus(root):
             name = entry.getPath().getName()
-            if entry.isDirectory() and name.startswith(f"{col}=") and name.split("=", 1)[1] >= start:
+            value = name.split("=", 1)[1] if name.startswith(f"{col}=") else NULL_PARTITION
+            if entry.isDirectory() and value != NULL_PARTITION and value >= start:
                 found[name] = {f.getPath().getName() for f in fs.listStatus(entry.getPath())}
     return found
 
@@ -46,7 +48,7 @@ def windowed_overwrite(df: DataFrame, path: str, col: str, start: str, rebalance
     every task writes a file per day.
 
     There is no upper bound: a narrower re-run also discards later partitions that the new
-    data lacks. ISO dates compare as text. Returns the partitions dropped as stale.
+    data lacks. ISO dates compare as text; rows without a date are in no window and stay. Returns the partitions dropped as stale.
     """
     spark = df.sparkSession
     before = _partition_files(spark, path, col, start)
@@ -69,9 +71,45 @@ def rundate_overwrite(df: DataFrame, path: str, run_date: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("run_date").parquet(path))
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo a replacement that was cut off between its two renames.
+
+    The new version is complete (it has its success marker) before anything is renamed, so it is taken;
+    should there be none, the old one comes back. Leftovers of earlier replacements are removed."""
+    fs, target = _fs(spark, path)
+    parent, name = target.getParent(), target.getName()
+    if not fs.exists(parent):
+        return
+    kinds = {"next": [], "old": []}
+    for entry in fs.listStatus(parent):
+        for kind, held in kinds.items():
+            if entry.getPath().getName().startswith(f"{name}.{kind}-"):
+                held.append(entry.getPath())
+    if not fs.exists(target):
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        ready = [p for p in kinds["next"] if fs.exists(hadoop.Path(p, "_SUCCESS"))]
+        for p in (ready or kinds["old"])[:1]:
+            fs.rename(p, target)
+    if fs.exists(target):
+        for p in [*kinds["next"], *kinds["old"]]:
+            if fs.exists(p):
+                fs.delete(p, True)
+
+
 def full_overwrite(df: DataFrame, path: str) -> None:
-    """Rebuild the whole table; the schema may change."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """Rebuild the whole table; the schema may change, and ``df`` may read the table it replaces.
+
+    The new version is written beside the old one and takes its place by two renames. A run that dies
+    before them leaves the old table, one that dies between them is completed by :func:`recover`, which
+    every write here begins with: no state loses rows."""
+    spark = df.sparkSession
+    tag = uuid.uuid4().hex
+    df.write.parquet(f"{path}.next-{tag}")
+    fs, target = _fs(spark, path)
+    if fs.exists(target):
+        fs.rename(target, _fs(spark, f"{path}.old-{tag}")[1])
+    fs.rename(_fs(spark, f"{path}.next-{tag}")[1], target)
+    recover(spark, path)
 
 
 def append_meta(df: DataFrame, path: str) -> None:
@@ -104,14 +142,11 @@ def merge_preserving(old: DataFrame, new: DataFrame, key: str, preserved: Sequen
 
 def upsert_preserve(new: DataFrame, path: str, key: str = "anomaly_id",
                     preserved: Sequence[str] = ("status", "reconciled")) -> None:
-    """Merge ``new`` into the table at ``path``.
-
-    The merged rows are written to the shared scratch folder before the target is replaced:
-    one plan cannot read and overwrite the same files.
-    """
+    """Merge ``new`` into the table at ``path``; a repeat changes nothing."""
     spark = new.sparkSession
+    recover(spark, path)
     if path_exists(spark, path):
-        new = materialize(merge_preserving(spark.read.parquet(path), new, key, preserved), "upsert")
+        new = merge_preserving(spark.read.parquet(path), new, key, preserved)
     full_overwrite(new, path)
 
 
