@@ -38,7 +38,7 @@ REGION = (
     "dz as (select d.date, o, case when sc > 1e-12 then (o - med) / sc else 0.0 end as z from days d, (select median(o) as med from days), (select case when 1.4826 * mad > 1e-12 then 1.4826 * mad else sd end as sc from (select median(abs(o - (select median(o) from days))) as mad, stddev_pop(o) as sd from days)))",
 )
 SEV = "case when {z} >= 12 then 'critical' when {z} >= 8 then 'major' when {z} >= 5 then 'minor' else 'warn' end"
-SEGMENT = " ".join(f"when '{s.metric_id}' then '{s.dim_value}'" for s in ORDER_REG.scored if s.dim_value)
+SEGMENT = " ".join(f"when '{s.metric_id}' then '{s.segment}'" for s in ORDER_REG.scored if s.segment)
 STAMP = "2001-08-02T00:00:00+00:00"
 
 

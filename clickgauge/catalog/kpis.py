@@ -20,7 +20,7 @@ VISIT_REG = R.visit_basis_registry(
     "visit_basis", R.VISIT_BASIS_EVENTS, R.FUNNEL_RATIOS, ["45", "39", "unknown"],
     R.FUNNEL_EVENTS, "post_evar4",
     {"hd": "evar4_hd", "travel": "evar4_travel", "life": "evar4_life", "home": "evar4_home",
-     "content:booking": "evar4_content-booking"})
+     "content:booking": "evar4_content-booking"}, owners={"269": R.Governance("active", "higher_is_good", "applications")})
 
 CAL = "cal as (select cast(unnest(generate_series(min(hit_date), max(hit_date), interval 1 day)) as date) as date from {t})"
 VK = "concat_ws('_', post_visid_high, post_visid_low, visit_num)"
@@ -140,11 +140,11 @@ def hit_registry_sql(reg=HIT_REG, hits="hits", tokens="tokens", cal="cal") -> st
     ids, rates = reg.event_ids, [s for s in reg.series if s.kind == "rate"]
     ev = ", ".join(f"count(*) filter (where t = '{e}') as e{e}" for e in ids)
     shares = [s for s in reg.series if s.kind == "share"]
-    sh = ", ".join(f"count(*) filter (where {s.dim} = '{s.dim_value}') as s{i}" for i, s in enumerate(shares))
+    sh = ", ".join(f"count(*) filter (where {s.dim} = '{s.segment}') as s{i}" for i, s in enumerate(shares))
     names = ["d.date as date", "coalesce(hits, 0) as hits_total", "coalesce(visits, 0) as visits_total",
              "coalesce(visitors, 0) as visitors_total"]
     names += [f"coalesce(e{e}, 0) as event_{e}_count" for e in ids]
-    names += [f"coalesce(e{s.event_id} / hits, 0.0) as {s.metric_id}" for s in rates]
+    names += [f"coalesce(e{s.event} / hits, 0.0) as {s.metric_id}" for s in rates]
     names += [f'coalesce(s{i} / hits, 0.0) as "{s.metric_id}"' for i, s in enumerate(shares)]
     names += ["coalesce(hits, 0) as page_views_total", "coalesce(hits / visits, 0.0) as pv_per_visit"]
     conds = {"0": "pvs = 0", "1": "pvs = 1", "2": "pvs = 2", "3_5": "pvs between 3 and 5", "6plus": "pvs > 5"}
@@ -157,13 +157,13 @@ def hit_registry_sql(reg=HIT_REG, hits="hits", tokens="tokens", cal="cal") -> st
 
 
 def visit_registry_sql() -> str:
-    cols, cube = [], VISIT_REG.of("event_dim")
+    cols, cube = [], VISIT_REG.of(R.Cell)
     for e in VISIT_REG.event_ids:
         cols.append(f"count(distinct case when t = '{e}' then vk end) as e{e}")
-    claimed = ", ".join(f"'{s.dim_value}'" for s in cube if s.event_id == "228" and s.dim_value)
+    claimed = ", ".join(f"'{s.segment}'" for s in cube if s.event == "228" and s.segment)
     for i, s in enumerate(cube):
-        cond = f"post_evar4 = '{s.dim_value}'" if s.dim_value else f"coalesce(post_evar4, '') not in ({claimed})"
-        cols.append(f"count(distinct case when t = '{s.event_id}' and {cond} then vk end) as c{i}")
+        cond = f"post_evar4 = '{s.segment}'" if s.segment else f"coalesce(post_evar4, '') not in ({claimed})"
+        cols.append(f"count(distinct case when t = '{s.event}' and {cond} then vk end) as c{i}")
     names = ["d.date as date", "coalesce(hits, 0) as hits_total", "coalesce(visits, 0) as visits_total",
              "coalesce(visitors, 0) as visitors_total"]
     names += [f"coalesce(e{e}, 0) as {m}" for e, m in R.VISIT_BASIS_EVENTS.items()]
@@ -261,13 +261,14 @@ def _(h):
     return df.select("date", F.round("share", 9).alias("share"), F.round("spread", 9).alias("spread"))
 
 
-GOV = ", ".join(f"('{s.metric_id}', '{s.status}', '{s.direction}', {str(s.log_scale).lower()})" for s in VISIT_REG.series)
+KIND_SQL = ("case when contains(v.metric_id, '_share_') then 'share' when starts_with(v.metric_id, 'funnel_') then 'ratio' else 'count' end")
 
 
-@on_hits("registry_frame", f"select v.metric_id, status, direction, log_scale, total from (values {GOV}) r(metric_id, status, direction, log_scale) "
-         f"join (select metric_id, round(sum(value), 6) as total from ({_long_sql(VISIT_REG, visit_registry_sql())}) group by 1) v on v.metric_id = r.metric_id", VTOKENS, HITS_CAL)
+@on_hits("registry_frame", f"select v.metric_id, {KIND_SQL} as kind, {KIND_SQL} = 'count' as log_scale, "
+         "case when contains(v.metric_id, '269') or starts_with(v.metric_id, 'funnel_app_start') then 'active' else 'candidate' end as status, total "
+         f"from (select metric_id, round(sum(value), 6) as total from ({_long_sql(VISIT_REG, visit_registry_sql())}) group by 1) v", VTOKENS, HITS_CAL)
 def _(h):
-    """Governance columns of the registry next to each series' total."""
+    """Kind and governance of each series next to its total."""
     reg = VISIT_REG.frame(h.sparkSession)
     totals = B.kpi_long(B.kpi_wide(h, VISIT_REG)).groupBy("metric_id").agg(F.round(F.sum("value"), 6).alias("total"))
-    return totals.join(reg.select("metric_id", "status", "direction", "log_scale"), "metric_id")
+    return totals.join(reg.select("metric_id", "kind", "log_scale", "status"), "metric_id")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import anomaly_id, log_inverse, log_transform, severity
-from ..plans.registry import Registry, Thresholds
+from ..plans.registry import Event, Registry, Thresholds
 from .series import rolling_means, seasonal_baseline
 
 MAD_TO_SIGMA = 1.4826
@@ -98,8 +98,8 @@ def segment_of(reg: Registry) -> Column:
     """Dimension value of the series, NULL for totals and events."""
     out = F.lit(None).cast("string")
     for s in reg.scored:
-        if s.dim_value is not None:
-            out = F.when(F.col("metric_id") == s.metric_id, s.dim_value).otherwise(out)
+        if s.segment is not None:
+            out = F.when(F.col("metric_id") == s.metric_id, s.segment).otherwise(out)
     return out
 
 
@@ -204,7 +204,7 @@ def anomaly_union(parts: Sequence[DataFrame], detected_at: str) -> DataFrame:
 
 def fp_denominators(long: DataFrame, reg: Registry, th: Thresholds = Thresholds()) -> DataFrame:
     """Scored cells per detector and class: the denominators of the false-positive rates."""
-    event_metrics = [f"event_{e}_count" for e in reg.event_ids if f"event_{e}_count" in reg.metric_ids]
+    event_metrics = [s.metric_id for s in reg.of(Event)]
     per = long.where(F.col("metric_id").isin([s.metric_id for s in reg.scored])).groupBy("metric_id").agg(
         F.count(F.lit(1)).alias("n"), (F.min("value") == F.max("value")).alias("constant"),
         F.avg((F.col("value") > 0).cast("double")).alias("active"))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.registry import Registry, Thresholds
+from ..plans.registry import Event, Registry, Thresholds
 from .detect import anomaly_row
 
 
@@ -23,7 +23,7 @@ def rule_zero_volume(long: DataFrame, metric: str = "hits_total", domain: str =
 def rule_event_coverage(long: DataFrame, reg: Registry, th: Thresholds = Thresholds(),
                         domain: str = "web") -> DataFrame:
     """Events that fire on nearly every day, on the days they do not."""
-    metrics = [s.metric_id for s in reg.series if s.source == "event" and s.kind == "count"]
+    metrics = [s.metric_id for s in reg.of(Event)]
     active = F.avg((F.col("value") > 0).cast("double")).over(Window.partitionBy("metric_id"))
     df = long.where(F.col("metric_id").isin(metrics)).withColumn("_active", active)
     lost = df.where((F.col("_active") >= th.min_active_frac) & (F.col("value") == 0))

@@ -72,7 +72,7 @@ def test_page_view_basis(spark, basis, views, zero_share, one_share):
 
 
 def test_ratio_and_zero_denominator(spark):
-    series = (R.TOTALS[0], R.TOTALS[1], R.SeriesSpec("hits_per_visit", "ratio", "visits", numerator="hits_total", denominator="visits_total"))
+    series = (R.TOTALS[0], R.TOTALS[1], R.Ratio("hits_per_visit", "hits_total", "visits_total"))
     rows = [hit(D1, "h1", "h1", "l1", "1", "", "p", "45"), hit(D1, "h1", "h1", "l1", "1", "", "p", "45"),
             hit(D1, "h1", "h1", "l1", "2", "", "p", "45"), hit(D3, "h2", "h2", "l2", "1", "", "p", "45"), hit(D3, "h2", "h2", "l2", "1", "", "p", "45")]
     got = build(spark, rows, reg=R.Registry("r", series))
@@ -85,6 +85,7 @@ V_ROWS = [
     (V1, "228,103", "hd", "en", "h1", "l1", "1", "t1"), (V1, "228,229", "hd", "en", "h1", "l1", "1", "t1"),
     (V1, "228", "obscure-cat", "fr", "h1", "l1", "1", "t2"), (V1, "269,240", None, "en", "h2", "l2", "5", "t3"),
     (V3, None, "travel", "unknown", "h3", "l3", "1", "t4")]
+# Hand-computed frames.
 V_WANT = {
     "hits_total": (4, 0, 1), "visits_total": (3, 0, 1), "visitors_total": (2, 0, 1), "pel_228_quote_start": (2, 0, 0),
     "pel_229_quote_complete": (1, 0, 0), "pel_232_save_quote": (0, 0, 0), "pel_269_app_start": (1, 0, 0),
@@ -93,7 +94,7 @@ V_WANT = {
     "funnel_app_start_over_quote_start": (0.5, 0, 0), "funnel_app_confirm_over_app_start": (1, 0, 0),
     "funnel_app_confirm_over_quote_start": (0.5, 0, 0), "language_share_en": (0.75, 0, 0), "language_share_fr": (0.25, 0, 0),
     "language_share_unknown": (0, 0, 1), "pel_228_quote_start__evar4_hd": (1, 0, 0), "pel_228_quote_start__evar4_travel": (0, 0, 0),
-    "pel_228_quote_start__other": (1, 0, 0), "pel_269_app_start__other": (1, 0, 0), "pel_240_app_confirm__other": (1, 0, 0),
+    "pel_228_quote_start__evar4_other": (1, 0, 0), "pel_269_app_start__evar4_other": (1, 0, 0), "pel_240_app_confirm__evar4_other": (1, 0, 0),
     "pel_240_app_confirm__evar4_hd": (0, 0, 0)}
 
 
@@ -140,11 +141,11 @@ def test_bad_declarations(spark):
         replace(VISIT_REG, event_basis="sessions")
     with pytest.raises(ValueError, match="unknown page view basis"):
         build(spark, [hit(D1, "A", "1", "1", "1", "20", "overview", "45")], reg=replace(HIT_REG, page_view_basis="scroll"))
-    broken = R.Registry("r", (R.TOTALS[0], R.SeriesSpec("x", "ratio", "hits", numerator="hits_total", denominator="nope")))
+    broken = R.Registry("r", (R.TOTALS[0], R.Ratio("x", "hits_total", "nope")))
     with pytest.raises(ValueError, match="unknown series"):
         B.kpi_wide(df, broken)
-    with pytest.raises(ValueError, match="unknown kind or source"):
-        B.kpi_wide(df, R.Registry("r", (R.SeriesSpec("x", "count", "sessions"),)))
+    with pytest.raises(ValueError, match="no such total"):
+        R.Total("x", "sessions")
 
 
 def test_empty_hits_give_an_empty_calendar(spark):

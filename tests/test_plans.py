@@ -6,7 +6,9 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from clickgauge.catalog import REGISTERED
 from clickgauge.catalog.kpis import HIT_REG, VISIT_REG
+from clickgauge.plans import registry as R
 from clickgauge.plans.builder import kpi_wide
 from clickgauge.sources import adapters
 
@@ -18,7 +20,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTERED))
 def test_no_cross_join_and_no_python(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     assert not [w for w in NEVER if w in text]
@@ -31,12 +33,12 @@ def test_kpi_scans_read_only_needed_columns(spark, shared, reg):
     spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
     text = plan(kpi_wide(spark.read.parquet(path), reg))
     spark.conf.unset("spark.sql.maxMetadataStringLength")
-    needed = {reg.date_col, *reg.visit_key, *reg.visitor_key, reg.event_col, reg.page_marker, *[s.dim for s in reg.series if s.dim]}
+    needed = {reg.date_col, *reg.visit_key, *reg.visitor_key, reg.event_col, reg.page_marker, *[s.dim for s in reg.of(R.Share, R.Cell)]}
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     assert schemas
     for s in schemas:
         assert {c.split(":")[0] for c in s.split(",")} <= needed
-    assert any(s == f"{reg.date_col}:date" for s in schemas), "the calendar reads only the day"
+    assert len(schemas) == 3, "one scan each for hit, visit and visitor grain; none for the calendar"
 
 
 def test_hit_grain_shuffles_days_not_hits(spark):
