@@ -69,7 +69,9 @@ def rule_blank_jump(counts: DataFrame, th: Thresholds = Thresholds(), domain: st
 def rule_new_value(counts: DataFrame, th: Thresholds = Thresholds(), domain: str = "web") -> DataFrame:
     """A value of some weight that none of the trailing present days had."""
     seen = Window.partitionBy("dim", "value").orderBy("k")
-    df = with_present_index(counts).where("value <> ''").withColumn("last_k", F.lag("k").over(seen))
+    indexed = with_present_index(counts).where("value <> ''")
+    weighty = indexed.where(F.col("share") > th.new_value_share).select("dim", "value").distinct()  # only these can fire
+    df = indexed.join(weighty, ["dim", "value"], "left_semi").withColumn("last_k", F.lag("k").over(seen))
     unseen = F.col("last_k").isNull() | (F.col("k") - F.col("last_k") > th.trailing_days)
     new = df.where((F.col("k") >= th.trailing_days) & (F.col("share") > th.new_value_share) & unseen)
     return _rule(new, "dim_coverage", "major", F.col("share"), F.lit(0.0), segment=F.col("value"),
@@ -80,8 +82,8 @@ RULE_KINDS = ("zero_volume", "event_coverage", "dim_coverage")
 
 
 def run_rules(long: DataFrame, hits: DataFrame, reg: Registry, th: Thresholds = Thresholds(),
-              kinds: Sequence[str] = RULE_KINDS, domain: str = "web") -> DataFrame:
-    """Union of the declared rules."""
+              kinds: Sequence[str] = RULE_KINDS, domain: str = "web", counts: DataFrame | None = None) -> DataFrame:
+    """Union of the declared rules; without stored ``counts`` the dimensions are counted from the hits."""
     unknown = set(kinds) - set(RULE_KINDS)
     if unknown:
         raise ValueError(f"unknown rule kinds: {sorted(unknown)}")
@@ -91,7 +93,7 @@ def run_rules(long: DataFrame, hits: DataFrame, reg: Registry, th: Thresholds =
     if "event_coverage" in kinds:
         parts.append(rule_event_coverage(long, reg, th, domain))
     if "dim_coverage" in kinds and reg.rule_dims:
-        counts = dim_day_counts(hits, reg.date_col, reg.rule_dims)
+        counts = counts if counts is not None else dim_day_counts(hits, reg.date_col, reg.rule_dims)
         parts += [rule_blank_jump(counts, th, domain), rule_new_value(counts, th, domain)]
     out = parts[0]
     for p in parts[1:]:

@@ -1,11 +1,15 @@
 """The daily run: scope, conform, KPIs, detection, publication.
 
-Each stage is a lazy plan between two tables. Tables are the recovery points: a stage that
-dies is re-run from the table before it, and every write can be repeated safely.
+Each stage is a lazy plan between two tables, and every write can be repeated. A run counts as done
+when its row is in the meta table, written last, with the source's watermark: the next run starts from
+there, whatever tables a failed one has touched since, and so completes it. Bronze, silver, KPI and
+dimension tables are partitioned by day and rewritten from the window's first day on; only the meta
+and the anomaly table are as long as history in rows, and both are small.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +18,10 @@ from ..functions.events import event_list_normalize
 from ..functions.keys import pseudonymize
 from ..functions.predicates import Scope, hit_eligible
 from ..functions.time import event_ts_safe
-from ..functions.url import lang_from_host, url_coalesce
+from ..functions.url import host_path, lang_from_host, url_coalesce, url_host
 from ..operators import detect, dq, rules
 from ..sources import scan, sinks
+from ..sources.scratch import materialize
 from ..streaming.incremental import freshness_gate, ingest_window, partition_pred
 from .builder import kpi_long, kpi_wide
 from .registry import Registry, Thresholds
@@ -44,6 +49,8 @@ class Feed:
     nonnull_floor: float = 0.95
     eligible_band: tuple[float, float] = (0.90, 0.98)
     dead_series: tuple[str, ...] = ()
+    required_hosts: tuple[str, ...] = ()  # a back-fill fails without a hit on each
+    skip_synthetic: bool = False  # leave zero-filled days out of detection
 
     @property
     def day(self) -> str:
@@ -85,16 +92,30 @@ def silver_gates(raw: DataFrame, conformed: DataFrame, feed: Feed) -> list[DataF
     return gates
 
 
-def gold(hits: DataFrame, feed: Feed) -> DataFrame:
-    return kpi_long(kpi_wide(hits, feed.registry))
+def gold(hits: DataFrame, feed: Feed, first_day: str | None = None) -> DataFrame:
+    return kpi_long(kpi_wide(hits, feed.registry, first_day))
+
+
+def calendar_start(long: DataFrame | None, start: str) -> str | None:
+    """First day that a rebuild from ``start`` on must hold, so that no gap opens to the days before it.
+
+    None if there are no such days: the calendar then begins with the first hit."""
+    if long is None:
+        return None
+    last = long.where(F.col("date") < F.lit(start).cast("date")).agg(F.date_add(F.max("date"), 1).cast("string")).first()[0]
+    return min(last, start) if last else None
 
 
 def findings(long: DataFrame, hits: DataFrame, feed: Feed, detected_at: str, th: Thresholds = Thresholds(),
-             method: str = "ecod") -> DataFrame:
-    """All detectors and rules over the written KPI table."""
+             method: str = "ecod", counts: DataFrame | None = None) -> DataFrame:
+    """All detectors and rules over the written KPI table; ``counts`` are stored dimension counts per day."""
     reg = feed.registry
+    if feed.skip_synthetic:
+        present = long.where((F.col("metric_id") == "hits_total") & (F.col("value") > 0)).select("date")
+        long = long.join(present, "date", "left_semi").select(*long.columns)
     parts = [detect.detect_univariate(long, reg, th, feed.name), detect.detect_level_shift(long, reg, th, feed.name),
-             detect.detect_multivariate(long, reg, th, method, feed.name), rules.run_rules(long, hits, reg, th, domain=feed.name)]
+             detect.detect_multivariate(long, reg, th, method, feed.name),
+             rules.run_rules(long, hits, reg, th, domain=feed.name, counts=counts)]
     return detect.anomaly_union(parts, detected_at)
 
 
@@ -125,43 +146,62 @@ class Tables:
     bronze: str
     silver: str
     gold: str
+    dims: str
     anomalies: str
     meta: str
 
     @classmethod
     def under(cls, base: str) -> "Tables":
-        return cls(*[f"{base}/{n}" for n in ("bronze", "silver", "gold", "anomalies", "meta")])
+        return cls(*[f"{base}/{n}" for n in ("bronze", "silver", "gold", "dims", "anomalies", "meta")])
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if sinks.path_exists(spark, path) else None
 
 
+def _done(spark: SparkSession, tables: Tables, day: str) -> DataFrame | None:
+    """The source watermarks of the runs that came to their end."""
+    meta = _read(spark, tables.meta)
+    return None if meta is None else meta.select(F.col("source_watermark").cast("date").alias(day))
+
+
 def daily_run(source: DataFrame, feed: Feed, tables: Tables, run_id: str, key: str | None,
               mode: str = "incremental", detected_at: str | None = None, th: Thresholds = Thresholds()) -> bool:
     """One run; False when the gate finds nothing new. Only one-row results reach the driver."""
     spark = source.sparkSession
-    loaded = _read(spark, tables.bronze)
-    if not freshness_gate(source, loaded, feed.day, mode).first()["new_data"]:
+    done = _done(spark, tables, feed.day)
+    gate = freshness_gate(source, done, feed.day, mode).first()
+    if not gate["new_data"]:
         return False
-    start = str(ingest_window(loaded, feed.day, feed.overlap_days, feed.start_date, mode, spark).first()["start"])
+    start = str(ingest_window(done, feed.day, feed.overlap_days, feed.start_date, mode, spark).first()["start"])
     sinks.windowed_overwrite(bronze(source, feed, start), tables.bronze, feed.day, start)
 
     raw = spark.read.parquet(tables.bronze)
     raw = raw.where(partition_pred(raw, feed.day, start))
-    conformed = silver(raw, feed, key)
-    for gate in silver_gates(raw, conformed, feed):
-        dq.enforce(gate)
+    conformed = materialize(silver(raw, feed, key), "conformed")
+    for check in silver_gates(raw, conformed, feed):
+        dq.enforce(check)
+    if mode == "backfill" and feed.required_hosts:
+        host = url_host(host_path(url_coalesce(*[c for c in feed.url_cols if c in raw.columns])))
+        dq.enforce(dq.dq_required_hosts(raw, host, feed.required_hosts))
     sinks.windowed_overwrite(conformed, tables.silver, feed.day, start)
 
     hits = spark.read.parquet(tables.silver)
-    sinks.full_overwrite(gold(hits, feed), tables.gold)
-    long = spark.read.parquet(tables.gold)
+    window = hits.where(partition_pred(hits, feed.day, start))
+    first_day = calendar_start(_read(spark, tables.gold), start)
+    sinks.windowed_overwrite(gold(window, feed, first_day), tables.gold, "date", first_day or start)
+    long = spark.read.parquet(tables.gold).select("date", "metric_id", "value")
     if mode == "backfill" and feed.dead_series:
         dq.enforce(dq.dq_dead_series(long, feed.dead_series))
+    counts = None
+    if feed.registry.rule_dims:
+        sinks.windowed_overwrite(rules.dim_day_counts(window, feed.day, feed.registry.rule_dims), tables.dims, "date", start)
+        counts = spark.read.parquet(tables.dims)
 
-    found = findings(long, hits, feed, detected_at or run_id, th).withColumn("run_id", F.lit(run_id))
+    at = detected_at or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    found = findings(long, hits, feed, at, th, counts=counts).withColumn("run_id", F.lit(run_id))
     sinks.upsert_preserve(found, tables.anomalies)
     mine = spark.read.parquet(tables.anomalies).where(F.col("run_id") == run_id)
-    sinks.append_meta(run_meta(mine, long, feed, run_id, th=th), tables.meta)
+    row = run_meta(mine, long, feed, run_id, th=th).withColumn("source_watermark", F.lit(gate["source_watermark"]))
+    sinks.append_meta(row, tables.meta)
     return True

@@ -136,7 +136,7 @@ def test_daily_run_end_to_end(spark, shared, source):
     assert hits.count() == source.where(cond).where(hit_eligible()).count()
     assert hits.where("mcvisid is not null and not mcvisid rlike '^[0-9a-f]{64}$'").count() == 0
     assert hits.where("post_event_list like '%=%'").count() == 0 and "page_url" not in hits.columns
-    long = spark.read.parquet(tables.gold)
+    long = spark.read.parquet(tables.gold).select("date", "metric_id", "value")
     one_go = D.gold(D.silver(D.bronze(source, FEED), FEED, "secret"), FEED)
     assert long.exceptAll(one_go).count() == 0 and one_go.exceptAll(long).count() == 0
     meta = {r["run_id"]: r for r in spark.read.parquet(tables.meta).collect()}
@@ -144,6 +144,76 @@ def test_daily_run_end_to_end(spark, shared, source):
     assert spark.read.parquet(tables.anomalies).groupBy("anomaly_id").count().where("count > 1").count() == 0
 
 
+STAGES = ["schema_contract", "silver_gates", "gold", "findings", "run_meta"]
+
+
+@pytest.mark.parametrize("stage", STAGES)
+def test_a_run_that_died_is_completed_by_the_next(spark, shared, source, monkeypatch, stage):
+    """The same tables as without the failure, with a day that arrived meanwhile, late rows and a gap at the edge."""
+    at = "2024-01-31T00:00:00Z"
+    early = source.where("hit_date <= date '2024-01-12'")
+    later = source.where("hit_date <= date '2024-01-13' or hit_date >= date '2024-01-16'")
+
+    def died(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    tables = D.Tables.under(f"{shared}/run")
+    assert D.daily_run(early, FEED, tables, "r1", "secret", detected_at=at)
+    with monkeypatch.context() as broken:
+        broken.setattr(D.scan if stage == "schema_contract" else D, stage, died)
+        with pytest.raises(RuntimeError, match="lost"):
+            D.daily_run(source.where("hit_date <= date '2024-01-13'"), FEED, tables, "r2", "secret", detected_at=at)
+    assert D.daily_run(later, FEED, tables, "r3", "secret", detected_at=at)
+    want = D.gold(D.silver(D.bronze(later, FEED), FEED, "secret"), FEED)
+    got = spark.read.parquet(tables.gold).select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert {r["run_id"] for r in spark.read.parquet(tables.meta).collect()} == {"r1", "r3"}
+    hits = spark.read.parquet(tables.silver)
+    counts = D.rules.dim_day_counts(hits, "hit_date", FEED.registry.rule_dims)
+    kept = spark.read.parquet(tables.dims).select(*counts.columns)
+    assert kept.exceptAll(counts).count() == 0 and counts.exceptAll(kept).count() == 0
+
+
+def test_backfill_needs_its_hosts(spark, shared, source):
+    from dataclasses import replace
+    feed = replace(FEED, required_hosts=("nowhere.example.org",))
+    with pytest.raises(dq.DataQualityError, match="nowhere"):
+        D.daily_run(source, feed, D.Tables.under(f"{shared}/run"), "r1", "secret", mode="backfill")
+
+
+def test_synthetic_days_can_be_left_out(spark, source):
+    from dataclasses import replace
+    gap = D.silver(D.bronze(source.where("hit_date < date '2024-01-10' or hit_date > date '2024-01-12'"), FEED), FEED, None)
+    long = D.gold(gap, FEED)
+    silent = D.findings(long, gap, FEED, "t").where("detector = 'zero_volume'").count()
+    assert silent == 3
+    assert D.findings(long, gap, replace(FEED, skip_synthetic=True), "t").where("detector = 'zero_volume'").count() == 0
+
+
+def test_window_keeps_rows_without_a_date(spark, shared):
+    path = f"{shared}/n"
+    spark.createDataFrame([("2024-01-01", 1), ("2024-01-05", 2), (None, 3)], "d string, v int").write.partitionBy("d").parquet(path)
+    assert sinks.windowed_overwrite(spark.createDataFrame([("2024-01-04", 9)], "d string, v int"), path, "d", "2024-01-03") == ["d=2024-01-05"]
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 3, 9]
+
+
+@pytest.mark.parametrize("died", ["before", "between"])
+def test_a_replacement_cut_off_loses_nothing(spark, shared, died):
+    path = f"{shared}/t"
+    old = spark.createDataFrame([("a", 1, "closed")], "anomaly_id string, x int, status string")
+    sinks.full_overwrite(old, path)
+    old.withColumn("x", F.lit(2)).write.parquet(f"{path}.next-1")
+    if died == "between":
+        import os
+        os.rename(path, f"{path}.old-1")
+    new = spark.createDataFrame([("a", 5, "open"), ("b", 6, "open")], "anomaly_id string, x int, status string")
+    for _ in range(2):  # a repeat changes nothing
+        sinks.upsert_preserve(new, path)
+        assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("a", 5, "closed"), ("b", 6, "open")]
+    import os
+    assert [n for n in os.listdir(shared) if n.startswith("t.")] == []
+
+
 def test_privacy_choice_does_not_move_kpis(spark, source):
     raw = D.bronze(source, FEED)
     hashed, clear = (D.gold(D.silver(raw, FEED, k), FEED) for k in ("secret", None))
