@@ -19,10 +19,10 @@ def _(h):
     return h.select("hit_id", T.nonblank("page_url").alias("ok"))
 
 
-@on_hits("qcol", "select hit_id, post_evar4 as v from hits where post_evar4 = 'hd'")
+@on_hits("qcol", "select hit_id, post_evar4 as v from hits")
 def _(h):
     dotted = h.withColumnRenamed("post_evar4", "visit.evar4")
-    return dotted.where(T.qcol("visit.evar4") == "hd").select("hit_id", T.qcol("visit.evar4").alias("v"))
+    return dotted.select("hit_id", T.qcol("visit.evar4").alias("v"))
 
 
 @on_hits("pick_col", "select hit_id, post_evar8 as picked from hits")
@@ -38,9 +38,9 @@ def _(h):
 
 
 @on_hits("split_part", """select hit_id, nullif(string_split(post_pagename, ':')[2], '') as second,
-    string_split(post_pagename, ':')[9] as ninth from hits where post_pagename <> ''""")
+    string_split(post_pagename, ':')[9] as ninth from hits""")
 def _(h):
-    return h.where(F.col("post_pagename") != "").select(
+    return h.select(
         "hit_id", T.split_part("post_pagename", ":", 2).alias("second"),
         T.split_part("post_pagename", ":", 9).alias("ninth"))
 
@@ -66,10 +66,10 @@ def _(h):
     return h.select("hit_id", T.severity(F.col("amount") / 10).alias("severity"))
 
 
-@on_hits("anomaly_id", """select hit_id, post_evar4 || ':' || cast(hit_date as string) || ':univariate' as anomaly_id
-    from hits where post_evar4 is not null""")
+@on_hits("anomaly_id", """select hit_id, concat_ws(':', post_evar4, cast(hit_date as string), 'univariate') as anomaly_id
+    from hits""")
 def _(h):
-    return h.where("post_evar4 is not null").select(
+    return h.select(
         "hit_id", T.anomaly_id(F.col("post_evar4"), F.col("hit_date"), F.lit("univariate")).alias("anomaly_id"))
 
 
@@ -247,12 +247,11 @@ def _(h):
 # ---------------------------------------------------------------- time
 
 @on_hits("event_ts", """select hit_id, strftime(coalesce(try_cast(date_time as timestamp),
-    make_timestamp(cast(hit_time_gmt as bigint) * 1000000)), '%Y-%m-%d %H:%M:%S') as ts
-    from hits where date_time <> '0' and hit_time_gmt <> ''""")
+    make_timestamp(try_cast(hit_time_gmt as bigint) * 1000000)), '%Y-%m-%d %H:%M:%S') as ts from hits""")
 def _(h):
-    ok = h.where("date_time <> '0' and hit_time_gmt <> ''")
-    return ok.select("hit_id", F.date_format(TM.event_ts("date_time", "hit_time_gmt"),
-                                             "yyyy-MM-dd HH:mm:ss").alias("ts"))
+    """Over all rows; text that the strict form throws on is nulled first (the throw itself has a test)."""
+    strict = TM.event_ts(F.nullif("date_time", F.lit("0")), F.nullif("hit_time_gmt", F.lit("")))
+    return h.select("hit_id", F.date_format(strict, "yyyy-MM-dd HH:mm:ss").alias("ts"))
 
 
 SAFE_TS = """select hit_id, strftime(coalesce(try_cast(date_time as timestamp),

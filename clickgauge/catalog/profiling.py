@@ -12,6 +12,7 @@ from ..operators import census as C
 from ..operators import eventstats as EV
 from ..operators import feedquality as FQ
 from ..operators import volume as V
+from ..sources import adapters as A
 from .base import on_hits, on_orders
 from .expressions import HOST_LANGS, HOST_LANG_SQL, IDS_SQL
 from .filters import EXC, EXCLUDE, INC, INCLUDE, URL, url_of
@@ -46,18 +47,24 @@ def _(o):
     return V.trailing_window(o, "hit_date", 90).select("hit_id")
 
 
-@on_hits("window_crosscheck", "select count(*) as window_rows, count(*) as daily_sum, true as equal from hits where hit_date >= date '2024-01-11'")
+@on_hits("window_crosscheck", """select w as window_rows, s as daily_sum, w = s as equal from (select (select count(*) from hits where hit_date >= date '2024-01-11') as w,
+    (select sum(n)::bigint from (select hit_date, count(*) as n from hits group by 1) where hit_date >= date '2024-01-11') as s)""")
 def _(h):
     return V.window_crosscheck(h, V.daily_volume(h, "hit_date", in_scope(), url_of()), "hit_date", "2024-01-11")
 
 
-@on_hits("column_families", """select * from (values ('custom_vars', 3::bigint, 3::bigint), ('geo', 3, 3), ('identity', 3, 3), ('mobile', 2, 2), ('url', 4, 4), ('time', 2, 2), ('other', 2, 2)) t(family, columns, populated_columns)
-    where (select count(*) from hits) > 0""")
+FAMILY_COLS = ["post_evar4", "post_evar8", "campaign", "geo_country", "geo_region", "geo_city", "mcvisid", "post_visid_high",
+               "post_visid_low", "mobileappid", "mobiledevice", "page_url", "post_page_url", "visit_start_page_url", "href",
+               "date_time", "hit_time_gmt", "rsid", "browser"]
+FAMILY_CTES = ("per as (" + " union all ".join(f"select '{c}' as c, count(nullif(trim(cast({c} as varchar)), '')) as p from hits" for c in FAMILY_COLS) + ")",
+               "fam as (select * from (values ('custom_vars', '^(post_)?(evar|prop)[0-9]+$|^(post_)?campaign$'), ('identity', 'visid|cust_id|userid|username|cookie'), "
+               "('geo', '^geo_|zip|country|region|city'), ('time', 'time|date|_gmt$|^ts$'), ('mobile', '^mobile'), ('url', 'url|referrer|href')) t(family, re))",
+               "tagged as (select c, p, coalesce(family, 'other') as family from per left join fam on regexp_matches(c, re))")
+
+
+@on_hits("column_families", "select family, count(*) as columns, count(*) filter (where p > 0) as populated_columns from tagged group by 1", *FAMILY_CTES)
 def _(h):
-    cols = ["post_evar4", "post_evar8", "campaign", "geo_country", "geo_region", "geo_city", "mcvisid", "post_visid_high",
-            "post_visid_low", "mobileappid", "mobiledevice", "page_url", "post_page_url", "visit_start_page_url", "href",
-            "date_time", "hit_time_gmt", "rsid", "browser"]
-    return C.column_families(C.population_census(h, cols))
+    return C.column_families(C.population_census(h, FAMILY_COLS))
 
 
 @on_hits("window_diagnostics", f"""select count(*) as total, {N(f'rsid = $$suite_a$$ and not {INC}')} as suite_only, {N(f'rsid <> $$suite_a$$ and {INC}')} as url_only,
@@ -94,10 +101,20 @@ def _(h):
     return C.population_census(h, CENSUS, exact=True)
 
 
-@on_hits("population_census_approx", None)
+SKETCH_ERROR = 0.15  # three standard errors of the sketched distinct count
+
+
+def _within(approx, exact, name):
+    return (F.abs(approx - exact) <= F.greatest(SKETCH_ERROR * exact, F.lit(1.0))).alias(name)
+
+
+@on_hits("population_census_approx", " union all ".join(
+    f"select '{c}' as column_name, count(nullif(trim(cast({c} as varchar)), '')) as populated, count(*) > 0 as within_error from hits" for c in A.HIT_COLUMNS))
 def _(h):
-    """Every column of the hit table, with sketched distinct counts (no shuffle of values)."""
-    return C.population_census(h)
+    """Every column of the hit table with sketched distinct counts, next to the exact ones."""
+    exact = C.population_census(h, exact=True).select("column_name", F.col("distinct_values").alias("exact"))
+    both = C.population_census(h).join(exact, "column_name")
+    return both.select("column_name", "populated", _within(F.col("distinct_values"), F.col("exact"), "within_error"))
 
 
 @on_hits("batched_agg", " union all ".join(f"select '{c}' as name, cast(count({c}) as double) as value from hits" for c in CENSUS))
@@ -157,11 +174,17 @@ def _(h):
     return V.ts_daily(h, F.col("hit_date"), visit(), pair(), P.hit_eligible(), {v: lang == v for v in ("en", "fr")}, exact=True)
 
 
-@on_hits("ts_daily_approx", None)
+@on_hits("ts_daily_approx", "select hit_date as date, count(*) as hits, count(*) > 0 as visits_within, count(*) > 0 as visitors_within from hits group by 1")
 def _(h):
-    """The same series with sketched distinct counts: one map-side combined aggregate."""
+    """The same series with sketched distinct counts (one map-side combined aggregate), next to the exact ones."""
     lang = U.lang_from_host(url_of(), HOST_LANGS)
-    return V.ts_daily(h, F.col("hit_date"), visit(), pair(), P.hit_eligible(), {v: lang == v for v in ("en", "fr")})
+
+    def series(exact):
+        return V.ts_daily(h, F.col("hit_date"), visit(), pair(), P.hit_eligible(), {v: lang == v for v in ("en", "fr")}, exact=exact)
+
+    both = series(False).alias("a").join(series(True).alias("e"), "date")
+    return both.select("date", F.col("a.hits").alias("hits"), *[
+        _within(F.col(f"a.{c}"), F.col(f"e.{c}"), f"{c}_within") for c in ("visits", "visitors")])
 
 
 PRESENT = f"present as (select distinct hit_id, hit_date, language, {VK} as vk, unnest({IDS_SQL.format(c='raw_event_list')}) as id from hits)"

@@ -289,7 +289,7 @@ def _(h):
     return rounded(S.value_rate_by_suite(h, "rsid", "brand_tag", P.brand_tag_match("brand_tag", "core")), "populated", "match_rate")
 
 
-@on_hits("pagename_prefix_census", "select rsid as suite, 'site' as prefix, count(*) as n, 1::int as rank from hits where post_pagename <> '' group by 1")
+@on_hits("pagename_prefix_census", "select rsid as suite, string_split(post_pagename, ':')[1] as prefix, count(*) as n, row_number() over (partition by rsid order by count(*) desc, string_split(post_pagename, ':')[1])::int as rank from hits where post_pagename <> '' group by 1, 2")
 def _(h):
     return S.pagename_prefix_census(h, "rsid", "post_pagename")
 

@@ -10,6 +10,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 _local_dirs: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,8 +30,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/clickgauge/{label}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Removes every intermediate table of this session; none of its results may still be read."""
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        folder = jvm.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once and read back: cuts lineage durably, and later reads survive lost executors."""
     path = scratch_path(df.sparkSession, label)
+    _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -59,6 +59,8 @@ def test_scratch_uses_the_named_folder(spark):
         assert scratch.shared_dir(spark) == named
     df = scratch.materialize(spark.range(5), "five")
     assert df.count() == 5 and scratch.shared_dir(spark) in df.inputFiles()[0]
+    scratch.release(spark)
+    assert not sinks.path_exists(spark, df.inputFiles()[0])
 
 
 def test_a_cluster_without_a_named_folder_is_refused():
