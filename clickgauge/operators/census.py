@@ -6,7 +6,7 @@ of values at all.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,9 +99,27 @@ def top_n(df: DataFrame, n: int, by: str = "n", *tie: str) -> DataFrame:
     return df.orderBy(F.desc(by), *tie).limit(n)
 
 
-def distinct_of(c: Column, exact: bool = False) -> Column:
-    """Approximate distinct count (a fixed-size sketch), or the exact one."""
-    return F.count_distinct(c) if exact else F.approx_count_distinct(c)
+def with_distincts(df: DataFrame, aggs: Sequence[Column], distincts: Mapping[str, Column], exact: bool = False,
+                   keys: Mapping[str, Column] | None = None) -> DataFrame:
+    """Aggregates per ``keys`` together with distinct counts of several values.
+
+    Sketched counts go into the same aggregate. Exact ones are two-level: each value is a tagged row,
+    reduced to distinct (keys, tag, value) before and after its shuffle and then counted, so no wide
+    aggregate is expanded and no set of values is held in one task.
+    """
+    keys = dict(keys or {})
+    by = [c.alias(n) for n, c in keys.items()]
+    if not exact:
+        return df.groupBy(*by).agg(*aggs, *[F.approx_count_distinct(c).alias(n) for n, c in distincts.items()])
+    base = df.groupBy(*by).agg(*aggs)
+    tagged = F.array(*[F.struct(F.lit(n).alias("_tag"), c.cast("string").alias("_value")) for n, c in distincts.items()])
+    values = df.select(*by, F.inline(tagged)).where("_value is not null").distinct()
+    counted = values.groupBy(*keys).agg(*[count_where(F.col("_tag") == n).alias(n) for n in distincts])
+    names = [c for c in base.columns if c not in keys]
+    both = base.withColumn("_base", F.lit(1)).unionByName(counted, allowMissingColumns=True)
+    return (both.groupBy(*keys).agg(*[F.first(f"`{c}`", ignorenulls=True).alias(c) for c in names],
+                                    *[F.coalesce(F.max(f"`{n}`"), F.lit(0)).alias(n) for n in distincts], F.max("_base").alias("_base"))
+            .where("_base = 1").drop("_base"))
 
 
 def top_values(df: DataFrame, column: str, n: int = 25, where: Column | None = None) -> DataFrame:
@@ -167,17 +185,18 @@ def custom_dims(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame
 
 def identity_evidence(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
     """Blank share, distinct values, lengths and degenerate flags of identity columns."""
-    aggs, rows = [F.count(F.lit(1)).alias("_rows")], []
+    aggs, rows, distincts = [F.count(F.lit(1)).alias("_rows")], [], {}
     for i, c in enumerate(columns):
         v = F.when(nonblank(c), qcol(c).cast("string"))
-        aggs += [F.count(v).alias(f"f{i}"), distinct_of(v, exact).alias(f"d{i}"), F.min(F.length(v)).alias(f"lo{i}"),
+        distincts[f"d{i}"] = v
+        aggs += [F.count(v).alias(f"f{i}"), F.min(F.length(v)).alias(f"lo{i}"),
                  F.avg(F.length(v)).alias(f"av{i}"), F.max(F.length(v)).alias(f"hi{i}")]
         rows.append(F.struct(
             F.lit(c).alias("column_name"), pct(F.col("_rows") - F.col(f"f{i}"), F.col("_rows")).alias("blank_pct"),
             F.col(f"d{i}").alias("distinct_values"), F.col(f"lo{i}").alias("len_min"), F.col(f"av{i}").alias("len_avg"),
             F.col(f"hi{i}").alias("len_max"), (F.col(f"f{i}") == 0).alias("all_null"),
             (F.col(f"d{i}") == 1).alias("cardinality_1")))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    return with_distincts(df, aggs, distincts, exact).select(F.inline(F.array(*rows)))
 
 
 def group_nonblank_rates(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:

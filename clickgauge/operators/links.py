@@ -9,20 +9,21 @@ from pyspark.sql import functions as F
 from ..functions.predicates import STRATEGIES, LinkRule, any_rule, no_null, rule_match, rule_strategies
 from ..functions.text import as_col, count_where, flag, nonblank, share_where
 from ..functions.url import UNKNOWN, lang_from_value
-from .census import distinct_of, top_n
+from .census import top_n, with_distincts
 
 
 def link_census(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
     """Fill, distinct values and lengths of the link columns (a column cap shows as len_max)."""
-    aggs, rows = [], []
+    aggs, rows, distincts = [], [], {}
     for i, c in enumerate(columns):
         v = F.when(nonblank(c), F.col(c).cast("string"))
-        aggs += [share_where(nonblank(c)).alias(f"r{i}"), distinct_of(v, exact).alias(f"d{i}"), F.min(F.length(v)).alias(f"lo{i}"),
+        distincts[f"d{i}"] = v
+        aggs += [share_where(nonblank(c)).alias(f"r{i}"), F.min(F.length(v)).alias(f"lo{i}"),
                  F.max(F.length(v)).alias(f"hi{i}"), F.percentile_approx(F.length(v), [0.5, 0.95, 0.99]).alias(f"p{i}")]
         rows.append(F.struct(F.lit(c).alias("column_name"), F.col(f"r{i}").alias("nonblank_rate"), F.col(f"d{i}").alias("distinct_values"),
                              F.col(f"lo{i}").alias("len_min"), F.col(f"hi{i}").alias("len_max"), F.col(f"p{i}")[0].alias("len_p50"),
                              F.col(f"p{i}")[1].alias("len_p95"), F.col(f"p{i}")[2].alias("len_p99")))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    return with_distincts(df, aggs, distincts, exact).select(F.inline(F.array(*rows)))
 
 
 def link_encoding(df: DataFrame, href: str, name: str, marks: Mapping[str, str]) -> DataFrame:

@@ -85,8 +85,8 @@ def population_verdict(daily: DataFrame, floor: int = 100) -> DataFrame:
 
 
 def key_cardinality(df: DataFrame, parts: Mapping[str, Column], exact: bool = False) -> DataFrame:
-    from .census import distinct_of
-    return df.agg(*[distinct_of(c, exact).alias(n) for n, c in parts.items()])
+    from .census import with_distincts
+    return with_distincts(df, [F.count(F.lit(1)).alias("_rows")], parts, exact).drop("_rows")
 
 
 def tag_vs_rules(df: DataFrame, tagged: Column, rules: Sequence[LinkRule], href: str, visit: Column) -> DataFrame:

@@ -10,7 +10,7 @@ from ..functions.predicates import no_null
 from ..functions.text import count_where, nonblank, pct
 from ..functions.url import (host_bucket, host_env_tag, host_path, path_bucket, path_generalize_ids,
                              path_prefix, query_param, url_coalesce, url_host, url_path, url_strip)
-from .census import distinct_of, top_n
+from .census import top_n, with_distincts
 from .series import cumulative_pct
 
 LOGIN_PATTERN = "(?i)portal|portail|login|auth|signin|member|sso"
@@ -34,12 +34,12 @@ def url_column_stats(df: DataFrame, columns: Sequence[str], exact: bool = False)
     ``coalesce_rank`` orders the columns by blank share: the recommended coalesce order.
     """
     coalesced = host_path(url_coalesce(*columns))
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs, distincts = [F.count(F.lit(1)).alias("rows")], {}
     for i, c in enumerate(columns):
         hp = host_path(F.col(c))
-        aggs += [count_where(nonblank(c)).alias(f"{i}_nonblank"), distinct_of(hp, exact).alias(f"{i}_distinct_urls"),
-                 count_where(hp == coalesced).alias(f"{i}_matches_coalesce")]
-    long = _long(df.agg(*aggs), columns, ["nonblank", "distinct_urls", "matches_coalesce"])
+        distincts[f"{i}_distinct_urls"] = hp
+        aggs += [count_where(nonblank(c)).alias(f"{i}_nonblank"), count_where(hp == coalesced).alias(f"{i}_matches_coalesce")]
+    long = _long(with_distincts(df, aggs, distincts, exact), columns, ["nonblank", "distinct_urls", "matches_coalesce"])
     order = Window.partitionBy(F.lit(1)).orderBy("blank_pct", "column_name")
     return (long.withColumn("blank_pct", pct(F.col("rows") - F.col("nonblank"), F.col("rows")))
             .withColumn("coalesce_rank", F.row_number().over(order)))
@@ -89,9 +89,9 @@ def url_column_category(df: DataFrame, columns: Sequence[str], strict: str, broa
 
 def pagename_sweep(df: DataFrame, column: str, strict: str, broad: str, exact: bool = False) -> DataFrame:
     name = F.lower(F.col(column))
-    n = df.agg(F.count(F.lit(1)).alias("rows"), count_where(nonblank(column)).alias("nonblank"),
-               distinct_of(name, exact).alias("distinct_names"), count_where(name.rlike(strict)).alias("strict"),
-               count_where(name.rlike(broad)).alias("broad"))
+    n = with_distincts(df, [F.count(F.lit(1)).alias("rows"), count_where(nonblank(column)).alias("nonblank"),
+                            count_where(name.rlike(strict)).alias("strict"), count_where(name.rlike(broad)).alias("broad")],
+                       {"distinct_names": name}, exact)
     return n.withColumn("blank_pct", pct(F.col("rows") - F.col("nonblank"), F.col("rows")))
 
 

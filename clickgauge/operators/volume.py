@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.events import event_presence
 from ..functions.text import as_col, count_where, nonblank, pct
 from ..functions.time import trunc_period
-from .census import distinct_of, top_n
+from .census import top_n, with_distincts
 
 
 def daily_volume(df: DataFrame, day: str, scoped: Column, url: str | Column) -> DataFrame:
@@ -71,17 +71,15 @@ def sample_frame(df: DataFrame, fraction: float, id_col: str, seed: int = 42) ->
 def ts_daily(df: DataFrame, day: Column, visit: Column, visitor: Column, clean: Column,
              languages: dict[str, Column], exact: bool = False) -> DataFrame:
     """Daily hits, visits, visitors, clean hits and hits per language in one pass."""
-    return df.groupBy(F.to_date(day).alias("date")).agg(
-        F.count(F.lit(1)).alias("hits"), distinct_of(visit, exact).alias("visits"),
-        distinct_of(visitor, exact).alias("visitors"), count_where(clean).alias("clean_hits"),
-        *[count_where(c).alias(f"lang_{name}") for name, c in languages.items()])
+    aggs = [F.count(F.lit(1)).alias("hits"), count_where(clean).alias("clean_hits"),
+            *[count_where(c).alias(f"lang_{name}") for name, c in languages.items()]]
+    return with_distincts(df, aggs, {"visits": visit, "visitors": visitor}, exact, {"date": F.to_date(day)})
 
 
 def traffic_series(df: DataFrame, ts: Column, period: str, visit: Column, visitor: Column,
                    by: str | None = None, exact: bool = False) -> DataFrame:
-    keys = [trunc_period(ts, period).alias("period")] + ([F.col(by)] if by else [])
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("hits"), distinct_of(visit, exact).alias("visits"),
-                                 distinct_of(visitor, exact).alias("visitors"))
+    keys = {"period": trunc_period(ts, period), **({by: F.col(by)} if by else {})}
+    return with_distincts(df, [F.count(F.lit(1)).alias("hits")], {"visits": visit, "visitors": visitor}, exact, keys)
 
 
 def language_mix(df: DataFrame, ts: Column, period: str, language: Column, names: list[str]) -> DataFrame:
