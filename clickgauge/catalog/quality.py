@@ -20,7 +20,7 @@ def visit():
     return K.key_plain("post_visid_high", "post_visid_low", "visit_num")
 
 
-@on_hits("qualified_visits", f"select hit_id from hits where {VK} in (select {VK} from hrefs where {ANY_SQL})", HREFS)
+@on_hits("qualified_visits", f"select hit_id from hits where {VK} in (select {VK} from hrefs where {ANY_SQL} and {VK} <> '')", HREFS)
 def _(h):
     return J.qualified_visits(h, visit(), P.any_rule(RULES, "href")).select("hit_id")
 

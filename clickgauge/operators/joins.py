@@ -17,21 +17,25 @@ def combine_single_rows(*frames: DataFrame) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in cols])
 
 
+_IS_VISIT = "_visit <> ''"
+
+
 def qualified_visits(df: DataFrame, visit: Column, qualifies: Column) -> DataFrame:
     """All hits of every visit with at least one qualifying hit.
 
     Qualifying keys are reduced to a distinct set first. Spark broadcasts that set when its
-    measured size allows and otherwise sort-merges, splitting skewed hit partitions.
+    measured size allows and otherwise sort-merges, splitting skewed hit partitions. Hits without
+    any part of a key (a NULL or empty one) belong to no visit: they neither qualify nor are kept.
     """
     keyed = df.withColumn("_visit", visit)
-    keys = keyed.where(qualifies).select("_visit").distinct()
+    keys = keyed.where(qualifies).where(_IS_VISIT).select("_visit").distinct()
     return keyed.join(keys, "_visit", "left_semi").drop("_visit")
 
 
 def flag_qualified(df: DataFrame, visit: Column, qualifies: Column, out: str = "qualified") -> DataFrame:
     """As :func:`qualified_visits`, but marks the hits instead of dropping the others."""
     keyed = df.withColumn("_visit", visit)
-    keys = keyed.where(qualifies).select("_visit").distinct().withColumn(out, F.lit(True))
+    keys = keyed.where(qualifies).where(_IS_VISIT).select("_visit").distinct().withColumn(out, F.lit(True))
     return keyed.join(keys, "_visit", "left").withColumn(out, F.coalesce(out, F.lit(False))).drop("_visit")
 
 

@@ -19,7 +19,11 @@ def _suite_days(df: DataFrame, suite: Column, day: str) -> DataFrame:
 
 def suite_census(df: DataFrame, suite: str, day: str) -> DataFrame:
     """Rows, share, days and readiness gates per suite, from one (suite, day) aggregate."""
-    n = _suite_days(df, F.lower(F.trim(F.col(suite))), day).groupBy("suite").agg(
+    return _census(_suite_days(df, F.lower(F.trim(F.col(suite))), day))
+
+
+def _census(days: DataFrame) -> DataFrame:
+    n = days.groupBy("suite").agg(
         F.sum("n").alias("rows"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
         F.count("date").alias("n_days"))
     total = n.agg(F.sum("rows")).scalar()
@@ -39,12 +43,13 @@ def suite_hosts(df: DataFrame, suite: str, host: Column, k: int) -> DataFrame:
 
 
 def suite_inventory(df: DataFrame, suite: str, day: str, host: Column, k: int = 10) -> DataFrame:
-    """Census, monthly histogram and top hosts of each suite in one row."""
-    months = suite_monthly(df, suite, day).groupBy("suite").agg(
+    """Census, monthly histogram and top hosts of each suite in one row, from (suite, day) and (suite, host) counts."""
+    days = _suite_days(df, F.lower(F.trim(F.col(suite))), day)
+    months = days.groupBy("suite", F.date_format("date", "yyyy-MM").alias("month")).agg(F.sum("n").alias("hits")).groupBy("suite").agg(
         F.array_sort(F.collect_list(F.struct("month", "hits"))).alias("monthly"))
     hosts = suite_hosts(df, suite, host, k).groupBy("suite").agg(
         F.array_sort(F.collect_list(F.struct("rank", "host", "hits"))).alias("top_hosts"))
-    return suite_census(df, suite, day).join(months, "suite", "left").join(hosts, "suite", "left")
+    return _census(days).join(months, "suite", "left").join(hosts, "suite", "left")
 
 
 def web_vs_app(df: DataFrame, suite: str, url_cols: Sequence[str], app_cols: Sequence[str],
