@@ -41,20 +41,29 @@ def n_words(text: Column) -> Column:
 
 def _grams(w: Column, size: int) -> Column:
     """Hash of each run of ``size`` words."""
-    return F.transform(positions(F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i + 1, F.lit(size))))
+    return F.transform(positions(F.size(w) - (size - 1)), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)]))
+
+
+def _over_six(values: Column, pick) -> Column:
+    """``pick`` (least or greatest) of each element and the five after it, by doubling; nulls and the end don't count."""
+    def joined(a: Column, ahead: int) -> Column:
+        return F.zip_with(a, F.slice(a, F.lit(ahead + 1), F.greatest(F.size(a) - ahead, F.lit(0))), lambda x, y: pick(x, y))
+
+    return bind(joined(values, 1), lambda two: bind(joined(two, 2), lambda four: joined(four, 2)))
 
 
 def winnowed(w: Column) -> Column:
     """(at, h) of the 5-grams that are least in some run of six; none in texts under ten words."""
     def of(h: Column) -> Column:
-        least = F.transform(positions(F.size(h) - (STEPS - 1)), lambda j: F.array_min(F.slice(h, j + 1, F.lit(STEPS))))
+        least = F.slice(_over_six(h, F.least), F.lit(1), F.greatest(F.size(h) - (STEPS - 1), F.lit(0)))
+        # the largest of the minima whose runs hold a gram: the gram itself exactly if some run chose it
+        before = F.array_repeat(F.lit(None).cast("bigint"), STEPS - 1)
 
-        def select(m: Column) -> Column:
-            chosen = F.filter(positions(F.size(h)), lambda i: F.get(h, i) == F.array_max(F.slice(
-                m, F.greatest(i - (STEPS - 1), F.lit(0)) + 1, F.least(i, F.lit(STEPS - 1)) + 1)))
+        def select(best: Column) -> Column:
+            chosen = F.filter(positions(F.size(h)), lambda i: F.get(h, i) == F.get(best, i))
             return F.transform(chosen, lambda i: F.struct(i.alias("at"), F.get(h, i).alias("h")))
 
-        return bind(least, select)
+        return bind(bind(F.concat(before, least), lambda m: _over_six(m, F.greatest)), select)
 
     none = F.array().cast("array<struct<at:int,h:bigint>>")
     return F.when(F.size(w) >= WINDOW, bind(_grams(w, GRAM), of)).otherwise(none)
