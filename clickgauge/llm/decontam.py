@@ -26,7 +26,8 @@ from .common import ascii_lower, digest, positions, row_key, whole
 WINDOW = 10
 GRAM = 5
 STEPS = WINDOW - GRAM + 1  # grams in a window
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 500_000
+BROADCAST_CHARS = 50_000_000
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 SEPARATORS_ANY_CASE = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
@@ -99,7 +100,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text:
     of_items = F.concat(winnowed(F.col("words")), *[
         F.when(F.size("words") == n, _short(F.col("words"), n)).otherwise(F.array().cast("array<struct<at:int,h:bigint>>")) for n in sizes])
     known = materialize(distinct.select(F.explode(of_items).alias("x")).select("x.h").distinct(), "item-prints")
-    small = known.count() <= BROADCAST_ROWS and windows.count() <= BROADCAST_ROWS
+    rows, chars = windows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("win")), F.lit(0))).first()
+    small = known.count() <= BROADCAST_ROWS and rows <= BROADCAST_ROWS and chars <= BROADCAST_CHARS
 
     lead = F.greatest(F.col("at") - (STEPS - 1), F.lit(0))
     context = F.slice(F.col("words"), lead + 1, F.lit(2 * WINDOW - GRAM))
