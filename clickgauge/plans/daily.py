@@ -24,7 +24,7 @@ from ..sources import scan, sinks
 from ..sources.scratch import materialize
 from ..streaming.incremental import freshness_gate, ingest_window, partition_pred
 from .builder import kpi_long, kpi_wide
-from .registry import Registry, Thresholds
+from .registry import Event, PageBucket, Ratio, Registry, Share, Thresholds
 
 
 @dataclass(frozen=True)
@@ -205,3 +205,32 @@ def daily_run(source: DataFrame, feed: Feed, tables: Tables, run_id: str, key: s
     row = run_meta(mine, long, feed, run_id, th=th).withColumn("source_watermark", F.lit(gate["source_watermark"]))
     sinks.append_meta(row, tables.meta)
     return True
+
+
+def verification(spark: SparkSession, tables: Tables, feed: Feed, hashed: bool = True, min_rows: int = 1) -> DataFrame:
+    """Every verification report that fits the feed over the tables of its runs: (report, verdict, detail as JSON)."""
+    reg = feed.registry
+    raw, hits = spark.read.parquet(tables.bronze), spark.read.parquet(tables.silver)
+    long = spark.read.parquet(tables.gold).select("date", "metric_id", "value")
+    languages = [s.metric_id for s in reg.of(Share) if s.dim == "language"]
+    reports = {
+        "volume": dq.verify_volume(hits, feed.day, min_rows),
+        "conform": dq.verify_conform(raw, hits, feed.events, feed.nonnull_floor, feed.eligible_band if feed.check_eligibility else None),
+        "gold_shape": dq.verify_gold_shape(long, len(reg.series)),
+        "events": dq.verify_funnel_events(long, [s.metric_id for s in reg.of(Event)]),
+        "zero_fill": dq.verify_zero_fill(long, hits, feed.day),
+    }
+    if hashed:
+        reports["pseudonym"] = dq.verify_pseudonym(hits, reg.visitor_key[0])
+    if languages:
+        reports["language_share"] = dq.verify_lang_share(long, languages)
+    if reg.page_view_basis == "all_hits" and reg.of(PageBucket):
+        reports["page_views"] = dq.verify_pv_identity(long)
+    if reg.of(Ratio):
+        steps = {s.metric_id: (s.over, s.under) for s in reg.of(Ratio)}
+        reports["ratios"] = dq.verify_funnel_ratios(long, steps)
+    out = None
+    for name, report in reports.items():
+        rows = report.select(F.lit(name).alias("report"), "verdict", F.to_json(F.struct(*report.columns)).alias("detail"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -176,6 +176,29 @@ def test_a_run_that_died_is_completed_by_the_next(spark, shared, source, monkeyp
     assert kept.exceptAll(counts).count() == 0 and counts.exceptAll(kept).count() == 0
 
 
+def test_visit_basis_feed_end_to_end(spark, shared, source):
+    """Eligibility, host language, visit-distinct events and cells; an injected dip is found."""
+    from clickgauge.operators import evaluate
+    reg = R.visit_basis_registry("visits", R.VISIT_BASIS_EVENTS, R.FUNNEL_RATIOS, ["en", "fr", "unknown"], ["228", "269"], "post_evar4", {"hd": "evar4_hd"})
+    feed = D.Feed(name="visits", registry=reg, scope=FEED.scope, required=(*FEED.required, "post_evar4", "visit_start_time_gmt"),
+                  check_eligibility=True, nonnull_floor=0.9, lang_hosts=(("plans.example.com", "en"), ("regimes.example.net", "fr")))
+    hit = F.col("hit_date") == F.lit("2024-01-24").cast("date")
+    fewer = source.where(~hit | (F.col("hit_id") % 12 == 0))
+    tables = D.Tables.under(f"{shared}/visits")
+    assert D.daily_run(fewer, feed, tables, "r1", "secret", mode="backfill", detected_at="2024-02-01T00:00:00Z")
+    long, hits = spark.read.parquet(tables.gold), spark.read.parquet(tables.silver)
+    assert {r[0] for r in hits.select("language").distinct().collect()} <= {"en", "fr", "unknown"} and "page_url" not in hits.columns
+    total = long.where("metric_id = 'visits_total'").agg(F.sum("value")).first()[0]
+    assert total == hits.where(reg.visit_expr().isNotNull()).select("hit_date", reg.visit_expr()).distinct().count()
+    truth = spark.createDataFrame([("a", "dip", None, (None, None, None), "2024-01-24", "2024-01-24", 0.9)],
+                                  evaluate.MANIFEST_SCHEMA.replace(" date,", " string,")).withColumns(
+        {c: F.col(c).cast("date") for c in ("date_start", "date_end")})
+    assert evaluate.score_recall(spark.read.parquet(tables.anomalies), truth).first()["detected"]
+    assert spark.read.parquet(tables.anomalies).select("detected_at").distinct().first()[0] == "2024-02-01T00:00:00Z"
+    report = {r["report"]: r["verdict"] for r in D.verification(spark, tables, feed).where("report <> 'events' and report <> 'language_share'").collect()}
+    assert set(report) == {"volume", "conform", "gold_shape", "zero_fill", "pseudonym", "ratios"} and report["gold_shape"] == "PASS"
+
+
 def test_backfill_needs_its_hosts(spark, shared, source):
     from dataclasses import replace
     feed = replace(FEED, required_hosts=("nowhere.example.org",))
