@@ -8,6 +8,9 @@ points within one bit of it, and two fingerprints are within two bits exactly if
 most 65 fingerprints can meet in a point, and each is linked to the least of them, which again is
 within two bits. Rows stay in proportion to distinct fingerprints, whatever the size of a group.
 
+``keep_one`` also links texts of a five-word similarity of 0.8 or more (``jaccard``), which lie up to some 13
+bits apart and which no radius that keys can cover would find in full.
+
 Copies share a fingerprint and are carried as one node. A text without words (null, empty, blank) has
 fingerprint zero and is linked like any other. Repeated rows fall into one class. Null ids are classed
 but never name a class unless it has no other id. An empty table gives an empty result. Other columns
@@ -24,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
+from . import jaccard
 from .common import map_arrow, row_key
 from .components import components
 
@@ -102,10 +106,11 @@ def links(fps: DataFrame) -> DataFrame:
     return pairs.unionByName(stars).distinct()
 
 
-def classes(prints: DataFrame) -> DataFrame:
-    """(fp, root): the class of each distinct fingerprint, named by its least one."""
+def classes(prints: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """(fp, root): the class of each distinct fingerprint, named by its least one; ``more`` are further edges."""
     fps = prints.select("fp").distinct()
-    stars = components(links(fps))
+    edges = links(fps)
+    stars = components(edges if more is None else edges.unionByName(more))
     return fps.join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
@@ -120,11 +125,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def similar(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Edges (a, b) between fingerprints of texts that share enough five-word shingles."""
+    edges = jaccard.links(docs, text)
+    ends = edges.select(F.explode(F.array("a", "b")).alias("th")).distinct()
+    hashed = docs.select(row_key(id_col, text).alias("key"), F.xxhash64(text).alias("th")).join(ends, "th", "left_semi")
+    named = materialize(hashed.join(prints.select("key", "fp"), "key").select("th", "fp").distinct(), "similar-prints")
+    a, b = (named.select(F.col("th").alias(x), F.col("fp").alias(f"f{x}")) for x in "ab")
+    return edges.join(a, "a").join(b, "b").select(F.col("fa").alias("a"), F.col("fb").alias("b")).distinct()
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each class, the one with the least id (nulls last), all columns as they came."""
+    """One document of each class, the one with the least id (nulls last), all columns as they came.
+
+    Classes are chains of fingerprints within the radius and of texts with a five-word similarity of 0.8."""
     prints = fingerprints(docs, id_col, text)
     best = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "key")).alias("best"))
-    chosen = (classes(prints).join(best, "fp").groupBy("root").agg(F.min("best").alias("best"))
+    chosen = (classes(prints, similar(docs, prints, id_col, text)).join(best, "fp").groupBy("root").agg(F.min("best").alias("best"))
               .select(F.col("best.key").alias("__kept_key")))
     chosen = materialize(chosen, "kept")
     return (docs.withColumn("__kept_key", row_key(id_col, text)).join(chosen, "__kept_key", "left_semi")

@@ -1,0 +1,30 @@
+"""The pipeline's near-duplicate stage and those after it, against all pairs of texts."""
+from __future__ import annotations
+
+import itertools
+
+import corpus_pipeline as pipeline
+from clickgauge.llm.common import read
+
+from .test_decontam import brute as hits
+from .test_jaccard import alike, roots, shingles
+from .test_pipeline import SF, rows
+from .test_simhash import brute_print
+
+
+def test_near_dedup_and_what_follows(spark):
+    _, second, third, fourth, last = (f for _, f in pipeline.STAGES)
+    b = second(spark, read(spark, SF, "documents"), SF)
+    kept, c = sorted(rows(b)), third(spark, b, SF)
+    prints, sets = [brute_print(r[1]) for r in kept], [shingles(r[1]) for r in kept]
+    pairs = list(itertools.combinations(range(len(kept)), 2))
+    bits = [p for p in pairs if (prints[p[0]] ^ prints[p[1]]).bit_count() <= 2]
+    near = [p for p in pairs if alike(sets[p[0]], sets[p[1]])]
+    least = {}
+    for r, root in zip(kept, roots(len(kept), bits + near)):
+        least[root] = min(least.get(root, r[0]), r[0])
+    assert {r[0] for r in rows(c)} == set(least.values()) and len(least) < len(set(roots(len(kept), bits)))
+    d, items = fourth(spark, c, SF), [tuple(r) for r in read(spark, SF, "benchmark").select("item_id", "text").collect()]
+    assert {r[0] for r in rows(d)} == {r[0] for r in rows(c) if not hits(r[1], items)[4]}
+    packed = last(spark, d, SF).groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
+    assert {r[0] for r in packed} == {r[0] for r in rows(d)} and all(r[1] == r[2] for r in packed)
