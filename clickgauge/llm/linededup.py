@@ -3,8 +3,9 @@
 The spread of a line is its number of distinct sites. A HyperLogLog sketch per line hash, merged by
 aggregation, estimates it in one shuffle of small rows. Only lines whose estimate is within ``margin``
 of the threshold get an exact distinct count, so the decision is that of exact counts while all others
-never shuffle their sites. Where boilerplate makes up more than half of a text, the text is a copy of a
-document rather than a page with boilerplate: it stays whole, for near-duplicate removal to judge.
+never shuffle their sites. A text that is boilerplate throughout is a copy of a document: it stays whole,
+for near-duplicate removal to judge. With ``half``, as the SQL has it, a text of which boilerplate is more
+than half stays whole too; without, as in the pipeline, every other text loses all its boilerplate lines.
 
 Lines end at ``\\n`` and are compared without surrounding white space; blank lines are never removed.
 Null texts count as empty and stay null. A null site counts as no site. Repeated rows get the same
@@ -50,8 +51,8 @@ def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_s
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site: str = "source",
-          min_sites: int = MIN_SITES, report: bool = True) -> DataFrame:
-    """The documents with ``text`` cleaned; ``report`` adds n_lines, n_boilerplate and n_removed (long)."""
+          min_sites: int = MIN_SITES, report: bool = True, half: bool = True) -> DataFrame:
+    """The documents with ``text`` cleaned; ``half`` spares texts that are mostly boilerplate; ``report`` adds n_lines, n_boilerplate and n_removed (long)."""
     known = boilerplate(docs, text, site, min_sites)
     keyed = docs.select(row_key(id_col, text).alias("__line_key"), F.posexplode(_hashes(whole(text))).alias("__line", "h"))
     marks = (keyed.where(F.col("h").isNotNull()).join(known, "h", "left_semi")
@@ -64,7 +65,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", site: str
     def clean(lines: Column) -> Column:
         kept = bind(F.array_except(positions(F.size(lines)), F.col("__marked")),
                     lambda at: F.transform(at, lambda i: F.get(lines, i)))
-        return bind(kept, lambda k: F.when(2 * size(k) >= size(lines), F.array_join(k, "\n")))
+        return bind(kept, lambda k: F.when(2 * size(k) >= size(lines) if half else size(k) > 0, F.array_join(k, "\n")))
 
     lines = F.split(whole(text), "\n")
     made = marked.withColumn("__clean", F.when(F.col("__marked").isNotNull(), bind(lines, clean)))

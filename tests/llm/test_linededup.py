@@ -32,3 +32,15 @@ def test_equals_exact_counts(docs, corpus):
 def test_columns_stay(docs, empty):
     assert linededup.dedup(docs, report=False).columns == docs.columns
     assert linededup.dedup(empty).count() == 0
+
+
+def test_mostly_boilerplate_loses_it_and_only_boilerplate_stays(spark):
+    from .conftest import DOCS
+    shared = "a notice on every page that is much longer than the rest"
+    texts = [f"own {i}\n{shared}" for i in range(10)] + [shared, f"\n{shared}\n", "own"]
+    docs = spark.createDataFrame([(i, t, None, f"site{i}", len(t)) for i, t in enumerate(texts)], DOCS)
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in linededup.dedup(docs, half=False).collect()}
+    assert got == {**{i: (f"own {i}", 1) for i in range(10)}, 10: (shared, 0), 11: (f"\n{shared}\n", 0), 12: ("own", 0)}
+    import corpus_pipeline
+    stage = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert stage == {i: t for i, (t, _) in got.items()}
