@@ -52,3 +52,17 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", home)
     return df.mapInArrow(fn, schema)
+
+
+def crc32_table_sql() -> str:
+    """SQL for one row ``t``: the 256 CRC-32 values of single bytes."""
+    bit = "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+    return (f"select list(c order by i) as t from (select i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x: {bit}) as c "
+            "from (select unnest(range(256)) as i))")
+
+
+def crc32_sql(text: str) -> str:
+    """SQL for the unsigned CRC-32 of a text's UTF-8 bytes, where the row has ``t``."""
+    octet = f"('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::bigint"
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda i: {octet})"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"

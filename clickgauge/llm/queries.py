@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, licences, linededup, packing, quality, rules, secrets, simhash, toxicity
+from . import decontam, importance, langid, licences, linededup, packing, quality, rules, secrets, simhash, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op8_quality(spark, sf_dir):
 @register("op9_language")
 def op9_language(spark, sf_dir):
     return langid.predicted(read(spark, sf_dir, "documents"))
+
+
+@register("op12_importance", importance.SQL)
+def op12_importance(spark, sf_dir):
+    return importance.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("n_words")
