@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, importance, langid, licences, linededup, packing, quality, rules, secrets, simhash, toxicity
+from . import decontam, importance, langid, licences, linededup, packing, prefixtrie, quality, rules, secrets, simhash, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ def op9_language(spark, sf_dir):
 @register("op12_importance", importance.SQL)
 def op12_importance(spark, sf_dir):
     return importance.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+@register("op11_prefix_trie", prefixtrie.SQL)
+def op11_prefix_trie(spark, sf_dir):
+    return prefixtrie.trie(read(spark, sf_dir, "conversations"))
