@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, importance, langid, licences, linededup, packing, prefixtrie, quality, rules, secrets, simhash, toxicity
+from . import decontam, importance, langid, licences, linededup, packing, pagetext, prefixtrie, quality, rules, secrets, simhash, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op12_importance(spark, sf_dir):
 @register("op11_prefix_trie", prefixtrie.SQL)
 def op11_prefix_trie(spark, sf_dir):
     return prefixtrie.trie(read(spark, sf_dir, "conversations"))
+
+
+@register("op13_page_text")
+def op13_page_text(spark, sf_dir):
+    return pagetext.extracted(read(spark, sf_dir, "pages"))
