@@ -3,6 +3,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,17 +32,50 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/clickgauge/{label}-{uuid.uuid4().hex}"
 
 
-def release(spark: SparkSession) -> None:
-    """Removes every intermediate table of this session; none of its results may still be read."""
+def _remove(spark: SparkSession, paths: list[str]) -> None:
     jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for path in _written.pop(spark.sparkContext.applicationId, []):
+    for path in paths:
         folder = jvm.Path(path)
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Removes every intermediate table of this session; none of its results may still be read."""
+    _remove(spark, _written.pop(spark.sparkContext.applicationId, []))
+
+
+def discard(df: DataFrame) -> None:
+    """Removes one intermediate table whose readers are done."""
+    written = _written.get(df.sparkSession.sparkContext.applicationId, [])
+    path = getattr(df, "_scratch_path", None)
+    if path in written:
+        written.remove(path)
+        _remove(df.sparkSession, [path])
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables materialized within go at the end, but for those passed through the function it yields."""
+    written = _written.setdefault(spark.sparkContext.applicationId, [])
+    before, kept = set(written), set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._scratch_path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        spent = [p for p in written if p not in before and p not in kept]
+        written[:] = [p for p in written if p not in spent]
+        _remove(spark, spent)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once and read back: cuts lineage durably, and later reads survive lost executors."""
     path = scratch_path(df.sparkSession, label)
     _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
