@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import discard, materialize
 
 
 def _star(edges: DataFrame, small: bool) -> DataFrame:
@@ -35,7 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = _mark(now)
     while seen[0]:
-        now = materialize(_star(_star(now, small=False), small=True), "edges")
+        last, now = now, materialize(_star(_star(now, small=False), small=True), "edges")
+        discard(last)
         mark = _mark(now)
         if mark == seen:
             break

@@ -1,13 +1,18 @@
 """Texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, exactly.
 
-The search is a prefix filter. Shingles have one order for all texts; two sets of the similarity share a
-shingle among the first ``n - ceil(0.8 n) + 1`` of each, so none is missed. The order puts shingles that
-a sample of the texts shows to be frequent last: a wrong guess there costs time and changes no result.
-Pairs that meet in a shingle are confirmed by counting their common shingles.
+The search is a prefix filter with positions. Shingles have one order for all texts, those that a sample
+shows to be frequent last; a wrong guess there costs time and changes no result. Of two similar sets the
+smaller, of m shingles, has the first common one among its first m / 9, the larger, of n, among its
+first n / 5; so texts are indexed by the short prefix and looked up by the long one. What lies behind
+the two positions bounds the common shingles: a template whose texts share most shingles, but not enough
+of them, gives no candidates. Candidates must then agree in a parity map of the sets (``MAP`` bits): each
+bit that differs stands for a shingle that differs, so none that is similar is lost. Only those left
+over are confirmed by counting common shingles.
 
 A shingle of many texts emits no square of pairs while its texts are alike: each text is compared with
 the least and the greatest text of the shingle, and only shingles whose texts are then still in
-different classes are compared pair by pair, across classes. Classes equal those of all pairs.
+different classes are compared text by text, across classes, within reach of size and position. Classes
+equal those of all pairs.
 
 Words are those of the fingerprint (ASCII white space, A-Z folded); a text of fewer than five words is
 one shingle. Texts without words have no shingles and no links. An empty table gives no links.
@@ -19,10 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, temporary
 from .common import map_arrow
 from .components import components
 
@@ -30,6 +35,20 @@ SHINGLE = 5
 SEED = 42
 SAMPLE = 4_000_000  # shingles looked at for the order
 HEAVY = 500_000     # frequent shingles that the order knows
+MAP = 256           # bits of the parity map
+KNOWN_WORDS = 300_000
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+_known: dict[bytes, int] = {}
+
+
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes; those of words met before are kept, for a bounded number of words."""
+    if len(_known) > KNOWN_WORDS:
+        _known.clear()
+    for w in set(words).difference(_known):
+        _known[w] = xxhash.xxh64_intdigest(w, SEED)
+    return np.fromiter(map(_known.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -37,13 +56,18 @@ def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     words = (text or b"").lower().split()
     if not words:
         return np.empty(0, dtype=np.int64)
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1)).tolist()
-    ends = ends[min(shingle, len(words)) - 1:].tolist()
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends)), dtype=np.uint64, count=len(ends))
-    return np.unique(hashes.view(np.int64))
+    each, shingle = _word_hashes(words), min(shingle, len(words))
+    mixed = np.full(len(words) - shingle + 1, shingle, dtype=np.uint64)
+    for k in range(shingle):
+        mixed = (mixed ^ each[k:len(each) - shingle + k + 1]) * FACTOR
+        mixed ^= mixed >> np.uint64(29)
+    return np.unique(mixed.view(np.int64))
+
+
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """Bit b of the map is the parity of the number of shingles that fall on it."""
+    odd = np.bincount(hashes.view(np.uint64) % np.uint64(MAP), minlength=MAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def prefix(hashes: np.ndarray, heavy: np.ndarray) -> np.ndarray:
@@ -58,15 +82,19 @@ def prefix(hashes: np.ndarray, heavy: np.ndarray) -> np.ndarray:
     return hashes[:n - (4 * n + 4) // 5 + 1]
 
 
-def _sets(texts: DataFrame, made, out: str) -> DataFrame:
-    """(th, n, ``out``) of rows (th, t): the number of shingles and those that ``made`` picks."""
+def _sets(texts: DataFrame, made, out: str, maps: bool = False) -> DataFrame:
+    """(th, n, ``out``) of rows (th, t): the number of shingles and those that ``made`` picks; with ``maps`` the parity map too."""
+    names = ["th", "n", out, "m"] if maps else ["th", "n", out]
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(x.as_py()) for x in b.column(1)]
-            n = pa.array([len(s) for s in sets], type=pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0), n, pa.array([made(s) for s in sets], type=pa.list_(pa.int64()))], names=["th", "n", out])
+            columns = [b.column(0), pa.array([len(s) for s in sets], type=pa.int32()), pa.array([made(s) for s in sets], type=pa.list_(pa.int64()))]
+            if maps:
+                columns.append(pa.array([parity(s) for s in sets], type=pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return map_arrow(texts, of, f"th long, n int, {out} array<long>")
+    return map_arrow(texts, of, f"th long, n int, {out} array<long>" + ", m array<long>" * maps)
 
 
 def _frequent(texts: DataFrame) -> np.ndarray:
@@ -80,9 +108,23 @@ def _frequent(texts: DataFrame) -> np.ndarray:
     return np.sort(top)
 
 
-def _fits(a, b):
-    """Whether sets of such sizes can be similar enough."""
-    return (5 * F.least(a, b) >= 4 * F.greatest(a, b))
+def _indexed(n: Column, pos: Column) -> Column:
+    """Whether the shingle at ``pos`` is one by which a text of ``n`` is found as the smaller of two."""
+    return 9 * (n - pos) >= 8 * n
+
+
+def _reach(x: str, y: str) -> Column:
+    """Whether texts that meet at such positions can be similar enough; the smaller one must be indexed there."""
+    n, m, i, j = (F.col(c) for c in (f"{x}.n", f"{y}.n", f"{x}.pos", f"{y}.pos"))
+    return ((5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * F.least(n - i, m - j) >= 4 * (n + m))
+            & F.when(n < m, _indexed(n, i)).when(m < n, _indexed(m, j)).otherwise(_indexed(n, i) | _indexed(m, j)))
+
+
+def _agree(n: Column, m: Column, a: Column, b: Column) -> Column:
+    """Whether parity maps leave room for the similarity."""
+    differing = sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(1, MAP // 64)),
+                    F.bit_count(F.get(a, F.lit(0)).bitwiseXOR(F.get(b, F.lit(0)))))
+    return 9 * differing <= n + m
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -96,25 +138,43 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, text: str = "text") -> DataFrame:
     """Edges (a, b) between text hashes; they connect all texts that chains of similar texts connect."""
+    with temporary(docs.sparkSession) as keep:
+        return keep(_links(docs, text))
+
+
+def _links(docs: DataFrame, text: str) -> DataFrame:
     texts = docs.select(F.xxhash64(text).alias("th"), F.col(text).cast("binary").alias("t")).where(F.col("t").isNotNull())
     heavy = texts.sparkSession.sparkContext.broadcast(_frequent(texts))
-    found = _sets(texts, lambda s: prefix(s, heavy.value), "p").where("n > 0").dropDuplicates(["th"])
-    rows = materialize(found.select("th", "n", F.explode("p").alias("token")), "prefixes")
-    shared = (rows.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("th", "n")).alias("lo"), F.max(F.struct("th", "n")).alias("hi"))
-              .where("c > 1"))
-    met = materialize(rows.join(shared, "token"), "shared-shingles")
-    ends = met.select("th", "n", F.explode(F.array("lo", "hi")).alias("end"))
-    pairs = materialize(ends.where((F.col("th") != F.col("end.th")) & _fits(F.col("n"), F.col("end.n")))
-                        .select(F.least("th", "end.th").alias("a"), F.greatest("th", "end.th").alias("b")).distinct(), "star-pairs")
+    found = materialize(_sets(texts, lambda s: prefix(s, heavy.value), "p", maps=True).where("n > 0").dropDuplicates(["th"]), "prefixes")
+    maps = found.select("th", "m")
+    rows = found.select("th", "n", F.posexplode("p").alias("pos", "token"))
+    end = F.struct("th", "n", "pos")
+    shared = (rows.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.max(_indexed(F.col("n"), F.col("pos"))).alias("indexed"),
+                                        F.min(end).alias("lo"), F.max(end).alias("hi")).where("c > 1 and indexed"))
+    met = materialize(rows.join(shared.drop("indexed"), "token"), "shared-shingles")
+
+    def mapped(pairs: DataFrame) -> DataFrame:
+        a, b = (maps.select(F.col("th").alias(x), F.col("m").alias(f"m{x}")) for x in "ab")
+        return pairs.join(a, "a").join(b, "b").where(_agree(F.col("n"), F.col("m"), F.col("ma"), F.col("mb"))).select("a", "b")
+
+    me = met.select("token", F.struct("th", "n", "pos").alias("me"), F.explode(F.array("lo", "hi")).alias("end"))
+    star = (me.where((F.col("me.th") != F.col("end.th")) & _reach("me", "end"))
+            .select(F.least("me.th", "end.th").alias("a"), F.greatest("me.th", "end.th").alias("b"), F.col("me.n").alias("n"), F.col("end.n").alias("m"))
+            .dropDuplicates(["a", "b"]))
+    pairs = materialize(mapped(star), "star-pairs")
     first = materialize(_confirmed(pairs, texts), "links")
     roots = components(first).withColumnRenamed("node", "th")
-    crowd = met.where("c > 2").select("token", "th", "n").join(roots, "th", "left").withColumn("root", F.coalesce("root", "th"))
-    open_ = crowd.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("c")).where("x <> y")
-    crowd = materialize(crowd.join(open_.select("token"), "token", "left_semi"), "open-shingles")
+    crowd = met.where("c > 3").select("token", "th", "n", "pos").join(roots, "th", "left").withColumn("root", F.coalesce("root", "th"))
+    open_ = crowd.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    crowd = materialize(crowd.join(open_.select("token"), "token", "left_semi").join(maps, "th"), "open-shingles")
     if crowd.isEmpty():
         return first
-    l, r = crowd.alias("l"), crowd.alias("r")
-    rest = (l.join(r, F.col("l.token") == F.col("r.token")).where((F.col("l.th") < F.col("r.th")) & (F.col("l.root") != F.col("r.root")) & _fits(F.col("l.n"), F.col("r.n")))
-            .select(F.col("l.th").alias("a"), F.col("r.th").alias("b")).distinct())
+    # A text finds those of its size or less in its own band of sizes or the one below.
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
+    y = crowd.where(_indexed(F.col("n"), F.col("pos"))).withColumn("band", band).alias("y")
+    x = crowd.withColumn("band", F.explode(F.array(band, band - 1))).alias("x")
+    apart = (F.col("x.root") != F.col("y.root")) & (F.col("y.n") <= F.col("x.n")) & _agree(F.col("x.n"), F.col("y.n"), F.col("x.m"), F.col("y.m"))
+    rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")) & apart & _reach("x", "y"))
+            .select(F.least("x.th", "y.th").alias("a"), F.greatest("x.th", "y.th").alias("b")).distinct())
     rest = rest.join(pairs, ["a", "b"], "left_anti")  # compared before
     return materialize(first.unionByName(_confirmed(materialize(rest, "rest-pairs"), texts)), "links")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import materialize, temporary
 from . import jaccard
 from .common import map_arrow, row_key
 from .components import components
@@ -139,10 +139,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     """One document of each class, the one with the least id (nulls last), all columns as they came.
 
     Classes are chains of fingerprints within the radius and of texts with a five-word similarity of 0.8."""
-    prints = fingerprints(docs, id_col, text)
-    best = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "key")).alias("best"))
-    chosen = (classes(prints, similar(docs, prints, id_col, text)).join(best, "fp").groupBy("root").agg(F.min("best").alias("best"))
-              .select(F.col("best.key").alias("__kept_key")))
-    chosen = materialize(chosen, "kept")
+    with temporary(docs.sparkSession) as keep:
+        prints = fingerprints(docs, id_col, text)
+        best = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "key")).alias("best"))
+        chosen = (classes(prints, similar(docs, prints, id_col, text)).join(best, "fp").groupBy("root").agg(F.min("best").alias("best"))
+                  .select(F.col("best.key").alias("__kept_key")))
+        chosen = keep(materialize(chosen, "kept"))
     return (docs.withColumn("__kept_key", row_key(id_col, text)).join(chosen, "__kept_key", "left_semi")
             .dropDuplicates(["__kept_key"]).drop("__kept_key"))

@@ -79,3 +79,33 @@ def test_keep_one_drops_edited_copies_that_two_bits_miss(spark):
     assert (brute_print(a) ^ brute_print(b)).bit_count() > simhash.RADIUS and alike(shingles(a), shingles(b))
     docs = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
     assert [r["doc_id"] for r in simhash.keep_one(docs).collect()] == [1]
+
+
+def test_a_template_gives_no_square_of_candidates(spark, monkeypatch):
+    """Texts of one form, similar at 0.73, have no links: candidates stay in proportion to the texts."""
+    made = {}
+    real = jaccard.materialize
+
+    def counting(df, label):
+        out = real(df, label)
+        made[label] = made.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counting)
+    rng = random.Random(9)
+    form = sentence(rng, 20)
+    for n in (200, 400):
+        made.clear()
+        docs = spark.createDataFrame([(i, " ".join(form[:9] + [f"w{i}a", f"w{i}b", f"w{i}c"] + form[9:])) for i in range(n)], "doc_id long, text string")
+        assert jaccard.links(docs).count() == 0
+        assert made["star-pairs"] + made.get("rest-pairs", 0) <= n
+
+
+def test_parity_maps_lose_no_similar_pair():
+    rng = random.Random(6)
+    for _ in range(300):
+        a = {rng.getrandbits(62) for _ in range(rng.randint(1, 900))}
+        b = {x for x in a if rng.random() > 0.1} | {rng.getrandbits(62) for _ in range(rng.randint(0, 40))}
+        if alike(a, b):
+            p, q = (jaccard.parity(jaccard.np.array(sorted(x), dtype="int64")) for x in (a, b))
+            assert 9 * sum((int(x) ^ int(y)).bit_count() if (int(x) ^ int(y)) >= 0 else ((int(x) ^ int(y)) & (2**64 - 1)).bit_count() for x, y in zip(p, q)) <= len(a) + len(b)
