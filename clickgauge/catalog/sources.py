@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from ..sources import adapters as A
 from ..sources import scan, scratch, sinks
+from ..sources.partitions import PartitionedTable
 from ..streaming import incremental as I
+from ..operators import volume as V
 from ..operators.commits import commit_cadence
 from .base import on_hits, on_orders, query
 
@@ -46,6 +48,40 @@ def _(spark, d):
     return I.freshness_gate(A.event_hits(spark, d), target, "hit_date")
 
 
+def _by_day(h, label):
+    """The hits' ids as a table with a folder a day."""
+    path = scratch.scratch_path(h.sparkSession, label)
+    h.select("hit_id", "hit_date").hint("rebalance", "hit_date").write.partitionBy("hit_date").parquet(path)
+    return PartitionedTable(h.sparkSession, path)
+
+
+@on_hits("watermark_partitions", """select cast(max(hit_date) as string) as watermark, cast(min(hit_date) as string) as earliest,
+    count(distinct hit_date) as days from hits""")
+def _(h):
+    t = _by_day(h, "by-day")
+    days = F.lit(len(t.values("hit_date") - {None})).cast("long").alias("days")
+    return t.extremes("hit_date").select(F.col("last").cast("string").alias("watermark"), F.col("first").cast("string").alias("earliest"), days)
+
+
+@on_hits("freshness_partitions", """select cast(max(hit_date) as string) as source_watermark,
+    cast(max(case when hit_date < date '2024-01-20' then hit_date end) as string) as target_watermark,
+    max(hit_date) > max(case when hit_date < date '2024-01-20' then hit_date end) as new_data from hits""")
+def _(h):
+    """Both sides of the gate from folder names."""
+    return I.freshness_gate(_by_day(h, "gate-source"), _by_day(h.where("hit_date < date '2024-01-20'"), "gate-target"), "hit_date")
+
+
+@on_hits("windows_partitions", """select (select cast(max(hit_date) - 3 as date) from hits) as ingest_start,
+    (select cast(date_trunc('month', max(hit_date)) - interval 1 month as date) from hits) as month_start,
+    (select count(*) from hits where hit_date >= (select max(hit_date) - 5 from hits)) as trailing_hits""")
+def _(h):
+    """Ingest, month and trailing windows over one table by day."""
+    t = _by_day(h, "windows")
+    trailing = V.trailing_window(t, "hit_date", 5).agg(F.count(F.lit(1)).alias("trailing_hits"))
+    return trailing.select(I.ingest_window(t, "hit_date", 3, "2024-01-01").scalar().alias("ingest_start"),
+                           V.month_window(t, "hit_date", 1).select("start").scalar().alias("month_start"), "trailing_hits")
+
+
 @on_hits("ingest_window", "select cast(max(hit_date) - 3 as date) as start from hits")
 def _(h):
     return I.ingest_window(h, "hit_date", 3, "2024-01-01")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.events import event_presence
 from ..functions.text import as_col, count_where, nonblank, pct
-from ..functions.time import trunc_period
+from ..functions.time import month_window_start, trunc_period
+from ..sources.partitions import Source, as_frame, extremes
 from .census import top_n, with_distincts
 
 
@@ -17,16 +18,15 @@ def daily_volume(df: DataFrame, day: str, scoped: Column, url: str | Column) ->
         count_where(~nonblank(url)).alias("url_blank"))
 
 
-def month_window(df: DataFrame, day: str, months: int) -> DataFrame:
+def month_window(df: Source, day: str, months: int) -> DataFrame:
     """One row: first day of the month ``months`` before the latest data month."""
-    from ..functions.time import month_window_start
-    return df.agg(F.max(as_col(day)).alias("last")).select(month_window_start("last", months).alias("start"), "last")
+    return extremes(df, day).select(month_window_start("last", months).alias("start"), "last")
 
 
-def trailing_window(df: DataFrame, day: str, days: int) -> DataFrame:
+def trailing_window(df: Source, day: str, days: int) -> DataFrame:
     """Rows of the last ``days`` days up to the latest partition (scalar-subquery filter)."""
-    first = df.agg(F.date_sub(F.max(as_col(day)), days)).scalar()
-    return df.where(as_col(day) >= first)
+    first = extremes(df, day).select(F.date_sub(F.col("last").cast("date"), days)).scalar()
+    return as_frame(df).where(as_col(day) >= first)
 
 
 def window_crosscheck(df: DataFrame, daily: DataFrame, day: str, start: str) -> DataFrame:

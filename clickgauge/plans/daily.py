@@ -21,6 +21,7 @@ from ..functions.time import event_ts_safe
 from ..functions.url import host_path, lang_from_host, url_coalesce, url_host
 from ..operators import detect, dq, rules
 from ..sources import scan, sinks
+from ..sources.partitions import Source, as_frame
 from ..sources.scratch import materialize
 from ..streaming.incremental import freshness_gate, ingest_window, partition_pred
 from .builder import kpi_long, kpi_wide
@@ -165,16 +166,19 @@ def _done(spark: SparkSession, tables: Tables, day: str) -> DataFrame | None:
     return None if meta is None else meta.select(F.col("source_watermark").cast("date").alias(day))
 
 
-def daily_run(source: DataFrame, feed: Feed, tables: Tables, run_id: str, key: str | None,
+def daily_run(source: Source, feed: Feed, tables: Tables, run_id: str, key: str | None,
               mode: str = "incremental", detected_at: str | None = None, th: Thresholds = Thresholds()) -> bool:
-    """One run; False when the gate finds nothing new. Only one-row results reach the driver."""
-    spark = source.sparkSession
+    """One run; False when the gate finds nothing new. Only one-row results reach the driver.
+
+    A ``PartitionedTable`` as source lets the gate decide from partition names."""
+    frame = as_frame(source)
+    spark = frame.sparkSession
     done = _done(spark, tables, feed.day)
     gate = freshness_gate(source, done, feed.day, mode).first()
     if not gate["new_data"]:
         return False
     start = str(ingest_window(done, feed.day, feed.overlap_days, feed.start_date, mode, spark).first()["start"])
-    sinks.windowed_overwrite(bronze(source, feed, start), tables.bronze, feed.day, start)
+    sinks.windowed_overwrite(bronze(frame, feed, start), tables.bronze, feed.day, start)
 
     raw = spark.read.parquet(tables.bronze)
     raw = raw.where(partition_pred(raw, feed.day, start))

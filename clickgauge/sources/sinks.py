@@ -27,6 +27,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def listing(spark: SparkSession, path: str) -> list[tuple[str, bool, int]]:
+    """(name, is folder, bytes) of what lies in a folder; nothing for a folder that does not exist."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [(e.getPath().getName(), e.isDirectory(), e.getLen()) for e in fs.listStatus(p)]
+
+
 def _partition_files(spark: SparkSession, path: str, col: str, start: str) -> dict[str, set[str]]:
     """Partition folder -> data file names, for partitions at or after ``start`` (metadata only)."""
     fs, root = _fs(spark, path)

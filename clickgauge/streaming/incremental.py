@@ -1,7 +1,8 @@
 """Incremental control: watermarks, the freshness gate and the trailing re-processing window.
 
 Late hits are handled by re-reading the last few days on every run, so each step is a bounded
-batch. Every function returns a plan; nothing is collected to decide.
+batch. Every function returns a plan; nothing is collected to decide. Sources are frames or
+``PartitionedTable``s; the latter answer from partition metadata, without a scan.
 """
 from __future__ import annotations
 
@@ -10,18 +11,19 @@ from pyspark.sql import functions as F
 
 from ..functions.text import as_col
 from ..operators.joins import combine_single_rows
+from ..sources.partitions import Source, extremes
 
 MODES = ("incremental", "backfill")
 
 
-def watermark(df: DataFrame | None, col: str, out: str = "watermark") -> DataFrame | None:
+def watermark(df: Source | None, col: str, out: str = "watermark") -> DataFrame | None:
     """Latest partition as 'YYYY-MM-DD' in one row (NULL when empty); None for no table."""
     if df is None:
         return None
-    return df.agg(F.substring(F.max(as_col(col)).cast("string"), 1, 10).alias(out))
+    return extremes(df, col).select(F.substring(F.col("last").cast("string"), 1, 10).alias(out))
 
 
-def freshness_gate(source: DataFrame | None, target: DataFrame | None, col: str,
+def freshness_gate(source: Source | None, target: Source | None, col: str,
                    mode: str = "incremental") -> DataFrame:
     """One row: is there anything new to process?
 
@@ -40,13 +42,13 @@ def freshness_gate(source: DataFrame | None, target: DataFrame | None, col: str,
     return marks.select(src, tgt, new.alias("new_data"))
 
 
-def ingest_window(target: DataFrame | None, col: str, overlap_days: int, start_date: str,
+def ingest_window(target: Source | None, col: str, overlap_days: int, start_date: str,
                   mode: str = "incremental", spark=None) -> DataFrame:
     """One row holding the first day to (re)process."""
     first = F.lit(start_date).cast("date")
     if target is None:
         return spark.range(1).select(first.alias("start"))
-    last = target.agg(F.max(as_col(col)).cast("date").alias("last"))
+    last = extremes(target, col).select(F.col("last").cast("date").alias("last"))
     if mode == "backfill":
         return last.select(first.alias("start"))
     return last.select(F.coalesce(F.date_sub("last", overlap_days), first).alias("start"))
