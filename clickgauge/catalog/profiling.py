@@ -142,15 +142,33 @@ def _(h):
     return rounded(C.text_shape(h, SHAPE), "len_avg", "url_frac")
 
 
-@on_hits("custom_dims", "select column_name, distinct_values, populated, top from (" + " union all ".join(
+CUSTOM = ["post_evar4", "post_evar8", "campaign"]
+CUSTOM_SQL = ("select column_name, distinct_values, populated, top from (" + " union all ".join(
     f"select '{c}' as column_name, count(*) as distinct_values, cast(sum(n) as bigint) as populated, array_to_string(list(v || '=' || cast(n as string) order by n desc, v)[1:5], ';') as top from (select {c} as v, count(*) as n from hits where trim({c}) <> '' group by 1)"
     for c in ("post_evar4", "post_evar8", "campaign")) + ")")
+
+
+@on_hits("custom_dims", CUSTOM_SQL)
 def _(h):
-    out = C.custom_dims(h, ["post_evar4", "post_evar8", "campaign"], 5)
+    out = C.custom_dims(h, CUSTOM, 5)
     top = F.array_join(F.transform("top", lambda t: F.concat(t["value"], F.lit("="), t["n"])), ";")
     return out.select("column_name", "distinct_values", "populated", top.alias("top"))
 
 
+@on_hits("custom_dims_sketched", f"select column_name, distinct_values > 0 as distinct_within, populated, top from ({CUSTOM_SQL})")
+def _(h):
+    """Top values exactly, from a sketch's candidates; distinct counts within the sketch's error."""
+    out = C.custom_dims(h, CUSTOM, 5, exact=False).join(C.custom_dims(h, CUSTOM, 5).select("column_name", F.col("distinct_values").alias("exact")), "column_name")
+    top = F.array_join(F.transform("top", lambda t: F.concat(t["value"], F.lit("="), t["n"])), ";")
+    return out.select("column_name", _within(F.col("distinct_values"), F.col("exact"), "distinct_within"), "populated", top.alias("top"))
+
+
+@on_hits("top_values_sketched", "select page_url as value, count(*) as n, round(100.0 * count(*) / (select count(*) from hits), 3) as pct from hits where trim(page_url) <> '' group by 1 order by 2 desc, 1 limit 10")
+def _(h):
+    """Nearly unique urls: the sketch proves nothing here, so this is the full count."""
+    return C.top_values(h, "page_url", 10, sketched=True)
+
+
 @on_hits("event_freq", f"""select id as event_id, count(distinct hit_id) as hits_with, count(*) as instances, count(v) as with_value, round(avg(v), 6) as value_mean, max(v) as value_max,
     round(100.0 * count(distinct hit_id) / (select count(*) from hits), 3) as hits_with_pct from
     (select hit_id, trim(string_split(t, '=')[1]) as id, try_cast(string_split(t, '=')[2] as double) as v from (select hit_id, unnest(string_split(raw_event_list || ',20', ',')) as t from hits) where trim(t) <> '')

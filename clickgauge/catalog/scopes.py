@@ -272,12 +272,20 @@ def _(h):
     return rounded(S.web_vs_app(h, "rsid", ["page_url", "post_page_url"], ["mobileappid"]), "page_url", "post_page_url", "mobileappid", "any_url_rate")
 
 
-@on_hits("segment_triples", """select rsid as suite, trim(string_split(brand_tag, '|')[1]) as brand, trim(string_split(brand_tag, '|')[2]) as lob, trim(string_split(brand_tag, '|')[3]) as segment, count(*) as n
-    from hits where brand_tag <> '' group by 1, 2, 3, 4 order by n desc, 1, 2, 3, 4 limit 20""")
+SEGMENTS = """select rsid as suite, trim(string_split(brand_tag, '|')[1]) as brand, trim(string_split(brand_tag, '|')[2]) as lob, trim(string_split(brand_tag, '|')[3]) as segment, count(*) as n
+    from hits where brand_tag <> '' group by 1, 2, 3, 4 order by n desc, 1, 2, 3, 4 limit 20"""
+
+
+@on_hits("segment_triples", SEGMENTS)
 def _(h):
     return S.segment_triples(h, "rsid", "brand_tag", "|", 20)
 
 
+@on_hits("segment_triples_sketched", SEGMENTS)
+def _(h):
+    return S.segment_triples(h, "rsid", "brand_tag", "|", 20, sketched=True)
+
+
 @on_hits("scope_sizing", f"""select count(*) as rows, {N('s')} as segment_scope, {N('u')} as url_scope, {N('s and u')} as both, {N('s and not u')} as segment_only, {N('u and not s')} as url_only,
     {N('brand_tag like $$%Core%$$')} as core_rows, {N('brand_tag like $$%Core%$$ and s')} as core_in_segment from (select brand_tag, brand_tag like 'ca-plan%' as s, {INC} and not {EXC} as u from urls)""", URL)
 def _(h):

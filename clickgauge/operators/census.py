@@ -122,10 +122,14 @@ def with_distincts(df: DataFrame, aggs: Sequence[Column], distincts: Mapping[str
             .where("_base = 1").drop("_base"))
 
 
-def top_values(df: DataFrame, column: str, n: int = 25, where: Column | None = None) -> DataFrame:
-    """Most frequent non-blank values with their share of all rows."""
+def top_values(df: DataFrame, column: str, n: int = 25, where: Column | None = None, sketched: bool = False) -> DataFrame:
+    """Most frequent non-blank values with their share of all rows; ``sketched`` finds them, as exact, without a shuffle of all values."""
     if where is not None:
         df = df.where(where)
+    if sketched:
+        from .frequent import columns_of, top_items
+        every = df.agg(F.count(F.lit(1))).scalar()
+        return top_items(df, columns_of([column]), n).select("value", "n", pct(F.col("n"), every).alias("pct"))
     rows = df.groupBy(qcol(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
     total = rows.agg(F.sum("n")).scalar()
     top = top_n(rows.where(nonblank("value")), n, "n", "value")
@@ -164,22 +168,40 @@ def _value_stats(values: DataFrame) -> DataFrame:
     return stats.withColumn("looks_like_url", F.col("url_frac") > 0.5).withColumn("free_text", F.col("len_avg") > 80)
 
 
-def text_shape(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Length and content shape of text columns."""
-    return _value_stats(column_values(df, columns)).drop("distinct_values", "populated")
+def text_shape(df: DataFrame, columns: Sequence[str], distinct: bool = False) -> DataFrame:
+    """Length and content shape of text columns, from one aggregate: a task shuffles one row, whatever the values.
 
-
-def custom_dims(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
-    """Shape and top values of every custom column, from one scan of the hits.
-
-    The value counts are the only shuffle of any size; statistics and top values both read
-    that aggregate (Spark reuses its exchange).
+    ``distinct`` adds a sketched count of distinct values and the number of populated rows. Columns without values have no row."""
+    aggs, rows = [], []
+    for i, c in enumerate(columns):
+        v = F.when(nonblank(c), qcol(c).cast("string"))
+        length, n = F.length(v), F.col(f"n{i}")
+        aggs += [F.count(v).alias(f"n{i}"), F.percentile(length, F.lit(0.5)).alias(f"p{i}"), F.sum(length).alias(f"s{i}"), F.max(length).alias(f"m{i}"),
+                 F.count(F.when(v.startswith("http"), 1)).alias(f"u{i}"), *([F.approx_count_distinct(v).alias(f"d{i}")] if distinct else [])]
+        rows.append(F.struct(F.lit(c).alias("column_name"), n.alias("populated"), *([F.col(f"d{i}").alias("distinct_values")] if distinct else []),
+                             F.col(f"p{i}").alias("len_p50"), F.try_divide(F.col(f"s{i}"), n).alias("len_avg"), F.col(f"m{i}").alias("len_max"),
+                             F.try_divide(F.col(f"u{i}").cast("double"), n).alias("url_frac")))
+    shape = df.agg(*aggs).select(F.inline(F.array(*rows))).where("populated > 0")
+    shape = shape.withColumn("looks_like_url", F.col("url_frac") > 0.5).withColumn("free_text", F.col("len_avg") > 80)
+    return shape if distinct else shape.drop("populated")
+
+
+def custom_dims(df: DataFrame, columns: Sequence[str], k: int = 10, exact: bool = True) -> DataFrame:
+    """Shape and top values of every custom column.
+
+    The exact form counts every value: the value counts are its only shuffle of any size, and statistics and
+    top values both read that aggregate (Spark reuses its exchange). With ``exact=False`` distinct counts are
+    sketched and top values come, still exact, from the candidates of a sketch (``frequent``).
     """
+    from .frequent import columns_of, top_items
     from .series import top_per_group
+    entry = F.struct("rank", "value", "n")
+    if not exact:
+        tops = top_items(df, columns_of(columns), k).groupBy(F.col("name").alias("column_name")).agg(F.array_sort(F.collect_list(entry)).alias("top"))
+        return text_shape(df, columns, distinct=True).join(tops, "column_name", "left")
     values = column_values(df, columns)
     top = top_per_group(values, "column_name", k, "n", "value")
-    tops = top.groupBy("column_name").agg(F.array_sort(F.collect_list(
-        F.struct("rank", "value", "n"))).alias("top"))
+    tops = top.groupBy("column_name").agg(F.array_sort(F.collect_list(entry)).alias("top"))
     return _value_stats(values).join(tops, "column_name", "left")
 
 

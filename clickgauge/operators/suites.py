@@ -62,11 +62,17 @@ def web_vs_app(df: DataFrame, suite: str, url_cols: Sequence[str], app_cols: Seq
     return n.withColumn("verdict", F.when(u >= web, "web").when(u <= app, "app_or_mixed").otherwise("mixed"))
 
 
-def segment_triples(df: DataFrame, suite: str, tag: str, delim: str, k: int) -> DataFrame:
+def segment_triples(df: DataFrame, suite: str, tag: str, delim: str, k: int, sketched: bool = False) -> DataFrame:
+    """Most frequent (suite, brand, line of business, segment); ``sketched`` finds them, as exact, without a shuffle of all triples."""
     t = df.where(nonblank(tag)).select(F.col(suite).alias("suite"), brand_triple(tag, delim).alias("t")).select("suite", "t.*")
-    n = t.groupBy("suite", "brand", "lob", "segment").agg(F.count(F.lit(1)).alias("n"))
-    return top_n(n, k, "n", "suite", "brand", "lob", "segment")
-
+    parts = ["suite", "brand", "lob", "segment"]
+    if sketched:
+        from .frequent import top_items
+        top = top_items(t, {"triple": F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})}, k)
+        whole = F.from_json("value", t.schema)
+        return top.select(*[whole[c].alias(c) for c in parts], "n")
+    n = t.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
+    return top_n(n, k, "n", *parts)
 
 def scope_sizing(df: DataFrame, segment: Column, url_scope: Column, variants: dict[str, Column]) -> DataFrame:
     """Segment scope against URL scope: what switching would gain and lose."""
