@@ -11,8 +11,11 @@ from ..functions import url as U
 from ..operators import census as C
 from ..operators import eventstats as EV
 from ..operators import feedquality as FQ
+from ..operators import rollups as RU
 from ..operators import volume as V
 from ..sources import adapters as A
+from ..sources import scratch
+from ..sources.scratch import materialize
 from .base import on_hits, on_orders
 from .expressions import HOST_LANGS, HOST_LANG_SQL, IDS_SQL
 from .filters import EXC, EXCLUDE, INC, INCLUDE, URL, url_of
@@ -329,3 +332,39 @@ def _(h):
 @on_orders("monthly_volume", "select strftime(hit_date, '%Y-%m') as month, count(*) as hits from ohits group by 1")
 def _(o):
     return V.monthly_volume(o, "hit_date")
+
+
+ROLLED = " union all ".join(
+    f"select '{name}' as grain, {period} as period, count(*) as hits, count(*) > 0 as visits_within, count(*) > 0 as visitors_within from hits group by 2"
+    for name, period in (("weekly", "cast(date_trunc('week', hit_date) as date)"), ("monthly", "cast(date_trunc('month', hit_date) as date)")))
+
+
+@on_hits("traffic_rollup", ROLLED)
+def _(h):
+    """Weeks and months from a stored table of day sketches, one part of which was processed twice, next to exact counts."""
+    spark, path = h.sparkSession, scratch.scratch_path(h.sparkSession, "day-sketches")
+    keys = {"visits": visit(), "visitors": pair()}
+    fewer = h.where("hit_date < date '2024-01-20' or hit_id % 2 = 0")
+    RU.refresh(RU.day_sketches(fewer, "hit_date", keys), path)
+    RU.refresh(RU.day_sketches(h.where("hit_date >= date '2024-01-20'"), "hit_date", keys), path, "2024-01-20")
+    stored, out = spark.read.parquet(path), None
+    for grain in ("weekly", "monthly"):
+        exact = V.traffic_series(h, F.col("hit_date"), grain, visit(), pair(), exact=True)
+        both = RU.rollup(stored, grain).alias("a").join(exact.alias("e"), "period")
+        bound = RU.relative_error()
+        rows = both.select(F.lit(grain).alias("grain"), "period", "a.hits", *[
+            (F.abs(F.col(f"a.{c}") - F.col(f"e.{c}")) <= F.greatest(bound * F.col(f"e.{c}"), F.lit(1.0))).alias(f"{c}_within") for c in keys])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@on_hits("population_rollup", f"""select {ELIG} as clean, count(*) as hits, count(*) > 0 as visitors_within from urls
+    where hit_date between date '2024-01-05' and date '2024-01-19' group by 1""", URL)
+def _(h):
+    """A free window per population (clean hits or not) from day sketches, next to exact counts."""
+    by = {"clean": P.hit_eligible()}
+    sketched = materialize(RU.day_sketches(h, "hit_date", {"visitors": pair()}, by), "population-sketches")
+    inside = h.where("hit_date between date '2024-01-05' and date '2024-01-19'")
+    exact = C.with_distincts(inside, [F.count(F.lit(1)).alias("hits")], {"visitors": pair()}, True, by)
+    both = RU.window(sketched, "2024-01-05", "2024-01-19", ["clean"]).alias("a").join(exact.alias("e"), "clean")
+    return both.select("clean", "a.hits", (F.abs(F.col("a.visitors") - F.col("e.visitors")) <= F.greatest(RU.relative_error() * F.col("e.visitors"), F.lit(1.0))).alias("visitors_within"))

@@ -7,6 +7,7 @@ from ..sources import adapters as A
 from ..sources import scan, scratch, sinks
 from ..sources.partitions import PartitionedTable
 from ..streaming import incremental as I
+from ..streaming.changes import follow
 from ..operators import volume as V
 from ..operators.commits import commit_cadence
 from .base import on_hits, on_orders, query
@@ -119,6 +120,36 @@ def _(h):
         F.count(F.lit(1)).alias("hits"), F.round(F.sum("amount"), 4).alias("amount"))
 
 
+@on_hits("days_overwrite", """select hit_date, count(*) as hits, round(sum(case when hit_date in (date '2024-01-03', date '2024-01-17') then 2 * amount else amount end), 4) as amount
+    from hits where hit_date <> date '2024-01-25' group by 1""")
+def _(h):
+    """Replace three days that lie apart, one of which has become empty."""
+    spark, path = h.sparkSession, scratch.scratch_path(h.sparkSession, "days")
+    rows = h.select("hit_id", "amount", "hit_date")
+    sinks.windowed_overwrite(rows, path, "hit_date", "2024-01-01")
+    changed = rows.where("hit_date <> date '2024-01-25'").withColumn("amount", F.col("amount") * 2)
+    sinks.days_overwrite(changed, path, "hit_date", ["2024-01-17", "2024-01-25", "2024-01-03"])
+    return spark.read.parquet(path).groupBy("hit_date").agg(F.count(F.lit(1)).alias("hits"), F.round(F.sum("amount"), 4).alias("amount"))
+
+
+@on_hits("late_days", "select hit_date, count(*) as hits, round(sum(amount), 4) as amount from hits group by 1")
+def _(h):
+    """A table kept up by the days that got new files: most hits, then late ones of old days, then nothing new."""
+    spark, base = h.sparkSession, scratch.scratch_path(h.sparkSession, "late")
+    rows = h.select("hit_id", "amount", "hit_date")
+    late = (F.col("hit_date") < F.lit("2024-01-10").cast("date")) & (F.col("hit_id") % 5 == 0)
+
+    def process(days, number):
+        source = spark.read.parquet(f"{base}/source")
+        sinks.days_overwrite(source.groupBy("hit_date").agg(F.count(F.lit(1)).alias("hits"), F.round(F.sum("amount"), 4).alias("amount")), f"{base}/daily", "hit_date", days)
+
+    for part in (rows.where(~late), rows.where(late), None):
+        if part is not None:
+            part.hint("rebalance", "hit_date").write.mode("append").partitionBy("hit_date").parquet(f"{base}/source")
+        follow(spark, f"{base}/source", "hit_date", f"{base}/seen", process)
+    return spark.read.parquet(f"{base}/daily").select("hit_date", "hits", "amount")
+
+
 @on_hits("rundate_overwrite", """select run_date, rsid, n * case when run_date = date '2024-02-02' then 10 else 1 end as n
     from (select rsid, count(*) as n from hits group by 1), (select unnest([date '2024-02-01', date '2024-02-02']) as run_date)""")
 def _(h):

@@ -38,6 +38,8 @@ def trunc_period(c: str | Column, period: str = "daily") -> Column:
         return F.to_date(c)
     if period == "weekly":
         return F.to_date(F.date_trunc("week", c))
+    if period == "monthly":
+        return F.trunc(F.to_date(c), "month")
     raise ValueError(f"unknown period: {period!r}")
 
 

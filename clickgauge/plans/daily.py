@@ -8,6 +8,7 @@ and the anomaly table are as long as history in rows, and both are small.
 """
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -21,7 +22,7 @@ from ..functions.time import event_ts_safe
 from ..functions.url import host_path, lang_from_host, url_coalesce, url_host
 from ..operators import detect, dq, rules
 from ..sources import scan, sinks
-from ..sources.partitions import Source, as_frame
+from ..sources.partitions import PartitionedTable, Source, as_frame
 from ..sources.scratch import materialize
 from ..streaming.incremental import freshness_gate, ingest_window, partition_pred
 from .builder import kpi_long, kpi_wide
@@ -182,33 +183,81 @@ def daily_run(source: Source, feed: Feed, tables: Tables, run_id: str, key: str
 
     raw = spark.read.parquet(tables.bronze)
     raw = raw.where(partition_pred(raw, feed.day, start))
-    conformed = materialize(silver(raw, feed, key), "conformed")
-    for check in silver_gates(raw, conformed, feed):
-        dq.enforce(check)
-    if mode == "backfill" and feed.required_hosts:
-        host = url_host(host_path(url_coalesce(*[c for c in feed.url_cols if c in raw.columns])))
-        dq.enforce(dq.dq_required_hosts(raw, host, feed.required_hosts))
+    conformed = _conformed(raw, feed, key, mode)
     sinks.windowed_overwrite(conformed, tables.silver, feed.day, start)
 
     hits = spark.read.parquet(tables.silver)
     window = hits.where(partition_pred(hits, feed.day, start))
     first_day = calendar_start(_read(spark, tables.gold), start)
     sinks.windowed_overwrite(gold(window, feed, first_day), tables.gold, "date", first_day or start)
-    long = spark.read.parquet(tables.gold).select("date", "metric_id", "value")
-    if mode == "backfill" and feed.dead_series:
-        dq.enforce(dq.dq_dead_series(long, feed.dead_series))
-    counts = None
     if feed.registry.rule_dims:
         sinks.windowed_overwrite(rules.dim_day_counts(window, feed.day, feed.registry.rule_dims), tables.dims, "date", start)
-        counts = spark.read.parquet(tables.dims)
+    _publish(spark, feed, tables, run_id, mode, detected_at, th, gate["source_watermark"])
+    return True
+
+
+def changed_run(source: Source, feed: Feed, tables: Tables, days: Sequence[str], run_id: str, key: str | None,
+                detected_at: str | None = None, th: Thresholds = Thresholds()) -> bool:
+    """Process the named days ('YYYY-MM-DD') anew, however old; False when ``run_id`` has been published before.
+
+    Only the partitions of these days are read and rewritten, in every table, and calendar days between them
+    and the days known so far that have become part of the calendar. A repeat after a death gives the same tables."""
+    frame = as_frame(source)
+    spark = frame.sparkSession
+    meta = _read(spark, tables.meta)
+    if not days or meta is not None and not meta.where(F.col("run_id") == run_id).isEmpty():
+        return False
+    days = sorted(set(days))
+
+    def of_days(df: DataFrame, *more: str) -> DataFrame:
+        kind = dict(df.dtypes)[feed.day]
+        return df.where(F.col(feed.day).isin([F.lit(d).cast(kind) for d in (*days, *more)]))
+
+    sinks.days_overwrite(bronze(of_days(frame), feed), tables.bronze, feed.day, days)
+    raw = of_days(spark.read.parquet(tables.bronze))
+    sinks.days_overwrite(_conformed(raw, feed, key, "incremental", maybe_empty=True), tables.silver, feed.day, days)
 
+    known = [str(d) if d else None for d in PartitionedTable(spark, tables.gold).extremes("date").first()] if sinks.path_exists(spark, tables.gold) else [None, None]
+    last = PartitionedTable(spark, tables.silver).extremes(feed.day).first()["last"]
+    hits = spark.read.parquet(tables.silver)
+    # The last day with hits keeps the calendar of this window as long as that of the table.
+    long = gold(of_days(hits, *([str(last)] if last else [])), feed, min(days[0], known[0] or days[0]))
+    changed = F.col("date").cast("string").isin(days)
+    if known[0]:
+        changed = changed | (F.col("date") < F.lit(known[0]).cast("date")) | (F.col("date") > F.lit(known[1]).cast("date"))
+    rows = materialize(long.where(changed), "gold-days")
+    sinks.days_overwrite(rows, tables.gold, "date", sorted({*days, *[str(r[0]) for r in rows.select("date").distinct().collect()]}))
+    if feed.registry.rule_dims:
+        sinks.days_overwrite(rules.dim_day_counts(of_days(hits), feed.day, feed.registry.rule_dims), tables.dims, "date", days)
+    _publish(spark, feed, tables, run_id, "incremental", detected_at, th, days[-1])
+    return True
+
+
+def _conformed(raw: DataFrame, feed: Feed, key: str | None, mode: str, maybe_empty: bool = False) -> DataFrame:
+    """Conformed hits, written once, that have passed their gates."""
+    conformed = materialize(silver(raw, feed, key), "conformed")
+    if not (maybe_empty and conformed.isEmpty()):  # a changed day may lie out of scope
+        for check in silver_gates(raw, conformed, feed):
+            dq.enforce(check)
+    if mode == "backfill" and feed.required_hosts:
+        host = url_host(host_path(url_coalesce(*[c for c in feed.url_cols if c in raw.columns])))
+        dq.enforce(dq.dq_required_hosts(raw, host, feed.required_hosts))
+    return conformed
+
+
+def _publish(spark: SparkSession, feed: Feed, tables: Tables, run_id: str, mode: str, detected_at: str | None, th: Thresholds, watermark: str) -> None:
+    """Detection over the KPI table, the anomaly table and, last, the run's row."""
+    hits = spark.read.parquet(tables.silver)
+    long = spark.read.parquet(tables.gold).select("date", "metric_id", "value")
+    if mode == "backfill" and feed.dead_series:
+        dq.enforce(dq.dq_dead_series(long, feed.dead_series))
+    counts = spark.read.parquet(tables.dims) if feed.registry.rule_dims else None
     at = detected_at or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     found = findings(long, hits, feed, at, th, counts=counts).withColumn("run_id", F.lit(run_id))
     sinks.upsert_preserve(found, tables.anomalies)
     mine = spark.read.parquet(tables.anomalies).where(F.col("run_id") == run_id)
-    row = run_meta(mine, long, feed, run_id, th=th).withColumn("source_watermark", F.lit(gate["source_watermark"]))
+    row = run_meta(mine, long, feed, run_id, th=th).withColumn("source_watermark", F.lit(watermark))
     sinks.append_meta(row, tables.meta)
-    return True
 
 
 def verification(spark: SparkSession, tables: Tables, feed: Feed, hashed: bool = True, min_rows: int = 1) -> DataFrame:

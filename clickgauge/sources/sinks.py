@@ -73,6 +73,26 @@ def windowed_overwrite(df: DataFrame, path: str, col: str, start: str, rebalance
     return stale
 
 
+def days_overwrite(df: DataFrame, path: str, col: str, days: Sequence[str], rebalance: bool = True) -> list[str]:
+    """Replace the partitions named by ``days`` by the rows of ``df``, whether they lie together or not; all others stay.
+
+    Of two runs over the same days the later one counts. A day that has no rows any more loses its folder,
+    last. Returns the partitions dropped."""
+    spark = df.sparkSession
+    names = {f"{col}={d}" for d in days}
+    before = {n: f for n, f in _partition_files(spark, path, col, min(days)).items() if n in names} if days else {}
+    rows = df.where(F.col(col).cast("string").isin(list(days)))
+    if rebalance:
+        rows = rows.hint("rebalance", col)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path)
+    after = _partition_files(spark, path, col, min(days)) if days else {}
+    stale = sorted(n for n, files in before.items() if files & after.get(n, set()))
+    for name in stale:
+        fs, p = _fs(spark, f"{path}/{name}")
+        fs.delete(p, True)
+    return stale
+
+
 def rundate_overwrite(df: DataFrame, path: str, run_date: str) -> None:
     """Replace one run's slice and keep the others."""
     (df.withColumn("run_date", F.lit(run_date).cast("date")).write.mode("overwrite")
