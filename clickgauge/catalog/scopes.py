@@ -184,9 +184,8 @@ def _(h):
     return UP.top_uncovered(UP.url_rollup(_inventory(h), list(TAGS)), _unc(), 10).select("host", "path_prefix", "lang", "env", "hits")
 
 
-def _share_frame(h, column):
-    n = h.where(T.nonblank(column)).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return n.withColumn("pct", T.pct(F.col("n"), h.agg(F.count(F.lit(1))).scalar()))
+def _scope_shares(h):
+    return UP.scope_shares(h, U.url_host(U.host_path(url_of())), "rsid", "geo_country")
 
 
 ALL_HOSTS = (URL, UHP, f"hosts as (select host, n, round(100.0 * n / sum(n) over (), 3) as pct, {ENV.format(h='host')} as env from "
@@ -209,14 +208,16 @@ TIERS = (*ALL_HOSTS,
     union all select t, 'login', '%' || host || '%' from hosts, (select unnest(['tight', 'medium']) as t) where {LOGIN_SQL}
     union all select 'tight', 'country', v from tg union all select 'medium', 'country', v from ge where pct >= 1.0""", *TIERS)
 def _(h):
-    return UP.scope_tiers(_all_hosts(h), _share_frame(h, "rsid"), _share_frame(h, "geo_country"), EXCLUDED)
+    hosts, suites, countries, _ = _scope_shares(h)
+    return UP.scope_tiers(hosts, suites, countries, EXCLUDED)
 
 
 @on_hits("tier_coverage", """select tier, cov as hit_coverage_pct, round((select count(*) from hits) * cov / 100.0)::bigint as row_estimate from (
     select 'tight' as tier, round(least((select sum(pct) from ts), (select sum(pct) from th)), 3)::double as cov union all
     select 'medium', round(least((select sum(pct) from su where pct >= 1.0), (select sum(pct) from mh)), 3)::double union all select 'broad', 100.0::double)""", *TIERS)
 def _(h):
-    return UP.tier_coverage(_all_hosts(h), _share_frame(h, "rsid"), h.agg(F.count(F.lit(1))).scalar())
+    hosts, suites, _, rows = _scope_shares(h)
+    return UP.tier_coverage(hosts, suites, rows)
 
 
 PAGE_HOSTS = "pg as (select string_split(hp, '/')[1] as host, count(*) as n from parts where hp <> '' group by 1)"

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.events import event_presence, raw_tokens
-from ..functions.text import as_col, count_where, nonblank
-from .census import column_values, population_census
+from ..functions.text import as_col, count_where, nonblank, qcol
+from ..sources.scratch import materialize
+from .census import as_text, population_census
+from .grains import with_expected
 from .series import top_per_group
 
 
@@ -67,64 +69,95 @@ def fid_population(df: DataFrame, expected: DataFrame, columns: Sequence[str], t
     return both.withColumn("ok", F.abs(F.col("actual") - F.col("expected")) < tol)
 
 
+def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, n) with the blank values of a column as one NULL, so that each column sums up to all rows."""
+    long = as_text(df, columns).unpivot([], [qcol(c) for c in columns], "column_name", "value")
+    return long.groupBy("column_name", F.when(nonblank("value"), F.col("value")).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def dim_profile(df: DataFrame, columns: Sequence[str], k: int = 10) -> tuple[DataFrame, DataFrame]:
-    """Expected side of :func:`fid_dims`: top value shares, and coverage with distinct values."""
-    values = column_values(df, columns)
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    shares = top_per_group(values, "column_name", k, "n", "value").select(
-        "column_name", "value", (F.col("n") / rows * 100).alias("share_pct"))
-    cover = values.groupBy("column_name").agg((F.sum("n") / rows * 100).alias("coverage_pct"), F.count(F.lit(1)).alias("distinct_values"))
+    """Expected side of :func:`fid_dims`: top value shares, and coverage with distinct values, from one pass."""
+    counts = materialize(_value_counts(df, columns), "value-counts")
+    known, n = counts.where("value is not null"), F.col("n")
+    per = counts.groupBy("column_name").agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("value").isNotNull(), n)).alias("known"),
+                                            F.count("value").alias("distinct_values"))
+    shares = top_per_group(known, "column_name", k, "n", "value").join(per, "column_name").select(
+        "column_name", "value", (n / F.col("rows") * 100).alias("share_pct"))
+    cover = per.where("known is not null").select("column_name", (F.col("known") / F.col("rows") * 100).alias("coverage_pct"), "distinct_values")
     return shares, cover
 
 
 def fid_dims(df: DataFrame, columns: Sequence[str], shares: DataFrame, cover: DataFrame, share_tol: float = 1.5,
              cover_tol: float = 1.0, distinct_floor: float = 0.8) -> DataFrame:
-    """Top value shares, coverage and distinct values of the dimensions.
+    """Top value shares, coverage and distinct values of the dimensions, from one scan.
 
-    ``shares`` and ``cover`` are as :func:`dim_profile` returns them.
+    ``shares`` and ``cover`` are as :func:`dim_profile` returns them; a column has a few expected shares.
     """
-    values = column_values(df, columns)
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    got = values.select("column_name", "value", (F.col("n") / rows * 100).alias("actual"))
-    by_value = shares.withColumnRenamed("share_pct", "expected").join(got, ["column_name", "value"], "left")
-    by_value = by_value.select("column_name", F.lit("share").alias("item"), "value", "expected", _zero("actual").alias("actual")).withColumn(
-        "ok", F.abs(F.col("actual") - F.col("expected")) <= share_tol)
-    mine = values.groupBy("column_name").agg((F.sum("n") / rows * 100).alias("c"), F.count(F.lit(1)).cast("double").alias("d"))
-    both = cover.join(mine, "column_name", "left")
-    none = F.lit(None).cast("string")
-    by_cover = both.select("column_name", F.lit("coverage").alias("item"), none.alias("value"), F.col("coverage_pct").alias("expected"),
-                           _zero("c").alias("actual")).withColumn("ok", F.abs(F.col("actual") - F.col("expected")) <= cover_tol)
-    by_distinct = both.select("column_name", F.lit("distinct").alias("item"), none.alias("value"),
-                              F.col("distinct_values").cast("double").alias("expected"), _zero("d").alias("actual")).withColumn(
-        "ok", F.col("actual") >= F.col("expected") * distinct_floor)
-    return by_value.unionByName(by_cover).unionByName(by_distinct)
+    n, value = F.col("n"), F.col("value")
+    both = with_expected(_value_counts(df, columns), shares, ["column_name", "value"], "share_pct")
+    per = both.groupBy("column_name").agg(
+        F.sum("n").alias("rows"), F.sum(F.when(value.isNotNull(), n)).alias("known"), F.count(F.when(value.isNotNull() & (n > 0), 1)).alias("distinct"),
+        F.collect_list(F.when(F.col("share_pct").isNotNull(), F.struct("value", "share_pct", "n"))).alias("expected"))
+    known = per.join(cover, "column_name", "left")
+
+    def item(kind: str, expected: Column, actual: Column, ok, value: Column = F.lit(None).cast("string")) -> Column:
+        actual = F.coalesce(actual.cast("double"), F.lit(0.0))
+        return F.struct(F.lit(kind).alias("item"), value.alias("value"), expected.cast("double").alias("expected"), actual.alias("actual"), ok(expected, actual).alias("ok"))
+
+    def near(tol: float):
+        return lambda e, a: F.abs(a - e) <= tol
+
+    rows = F.col("rows")
+    items = F.concat(F.transform("expected", lambda x: item("share", x["share_pct"], F.try_divide(x["n"].cast("double"), rows) * 100, near(share_tol), x["value"])),
+                     F.when(F.col("coverage_pct").isNotNull(), F.array(
+                         item("coverage", F.col("coverage_pct"), F.try_divide(F.col("known").cast("double"), rows) * 100, near(cover_tol)),
+                         item("distinct", F.col("distinct_values"), F.col("distinct"), lambda e, a: a >= e * distinct_floor)))
+                     .otherwise(F.array().cast("array<struct<item:string,value:string,expected:double,actual:double,ok:boolean>>")))
+    return known.select("column_name", F.inline(items))
+
+
+def _event_counts(df: DataFrame, events: str) -> DataFrame:
+    """(kind, item, n): hits per list size and per event carried, in one pass."""
+    size = F.struct(F.lit("size").alias("kind"), F.size(raw_tokens(events)).cast("string").alias("item"))
+    carried = F.transform(event_presence(events), lambda e: F.struct(F.lit("event").alias("kind"), e.alias("item")))
+    tags = F.concat(F.array(size), F.coalesce(carried, F.array().cast("array<struct<kind:string,item:string>>")))
+    return df.select(F.inline(tags)).groupBy("kind", "item").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _sizes(counts: DataFrame, *more: Column) -> DataFrame:
+    """One row: list-size percentiles and maximum, and the number of hits."""
+    size = F.when(F.col("kind") == "size", F.col("item").cast("int"))
+    return counts.agg(F.percentile(size, [0.5, 0.95], F.col("n")).alias("p"), F.max(size).cast("double").alias("hi"),
+                      F.sum(F.when(F.col("kind") == "size", F.col("n"))).alias("rows"), *more)
 
 
 def event_profile(df: DataFrame, events: str) -> tuple[DataFrame, DataFrame]:
-    """Expected side of :func:`fid_events`: list-size percentiles and inclusion shares."""
-    sizes = df.select(F.size(raw_tokens(events)).alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n"))
-    p = sizes.agg(F.percentile("s", [0.5, 0.95], F.col("n")).alias("p"), F.max("s").cast("double").alias("hi"))
-    stats = F.array(F.struct(F.lit("p50").alias("item"), F.col("p")[0].alias("value")),
-                    F.struct(F.lit("p95").alias("item"), F.col("p")[1].alias("value")),
-                    F.struct(F.lit("max").alias("item"), F.col("hi").alias("value")))
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    incl = df.select(F.explode(event_presence(events)).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    return p.select(F.inline(stats)), incl.select(F.col("id").alias("item"), (F.col("n") / rows * 100).alias("value"))
+    """Expected side of :func:`fid_events`: list-size percentiles and inclusion shares, from one pass."""
+    counts = materialize(_event_counts(df, events), "event-counts")
+    stats = F.array(*[F.struct(F.lit(k).alias("item"), c.alias("value")) for k, c in (("p50", F.col("p")[0]), ("p95", F.col("p")[1]), ("max", F.col("hi")))])
+    rows = counts.where("kind = 'size'").agg(F.sum("n")).scalar()
+    return _sizes(counts).select(F.inline(stats)), counts.where("kind = 'event'").select("item", (F.col("n") / rows * 100).alias("value"))
 
 
 def fid_events(df: DataFrame, events: str, sizes: DataFrame, inclusion: DataFrame, size_tol: float = 1.0,
                incl_tol: float = 1.0) -> DataFrame:
-    """List-size percentiles within one, a maximum not above, inclusion within one point."""
-    got_sizes, got_incl = event_profile(df, events)
-
-    def joined(expected, got):
-        return expected.withColumnRenamed("value", "expected").join(got.withColumnRenamed("value", "actual"), "item", "left").select(
-            "item", "expected", _zero("actual").alias("actual"))
-
-    delta = F.abs(F.col("actual") - F.col("expected"))
-    a = joined(sizes, got_sizes).withColumn("ok", F.when(F.col("item") == "max", F.col("actual") <= F.col("expected")).otherwise(delta <= size_tol))
-    b = joined(inclusion, got_incl).withColumn("ok", delta <= incl_tol)
-    return a.unionByName(b)
+    """List-size percentiles within one, a maximum not above, inclusion within one point, from one scan.
+
+    ``sizes`` has three rows, ``inclusion`` one for each known event."""
+    expected = sizes.select(F.lit("expected").alias("kind"), "item", "value").unionByName(inclusion.select(F.lit("event").alias("kind"), "item", "value"))
+    both = with_expected(_event_counts(df, events), expected, ["kind", "item"], "value")
+    one = _sizes(both, F.collect_list(F.when(F.col("value").isNotNull(), F.struct("kind", "item", "value", "n"))).alias("expected"))
+    size = F.create_map(F.lit("p50"), F.col("p")[0], F.lit("p95"), F.col("p")[1], F.lit("max"), F.col("hi"))
+    rows = F.col("rows")
+
+    def judged(x: Column) -> Column:
+        event = x["kind"] == "event"
+        actual = F.coalesce(F.when(event, F.try_divide(x["n"].cast("double"), rows) * 100).otherwise(F.element_at(size, x["item"])), F.lit(0.0))
+        near = F.abs(actual - x["value"])
+        ok = F.when(event, near <= incl_tol).when(x["item"] == "max", actual <= x["value"]).otherwise(near <= size_tol)
+        return F.struct(x["item"].alias("item"), x["value"].alias("expected"), actual.alias("actual"), ok.alias("ok"))
+
+    return one.select(F.inline(F.transform("expected", judged)))
 
 
 def fid_identity(df: DataFrame, key: Sequence[str], visitor: str, expected_visitors: Column, visitor_shape: str,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.registry import Event, Registry, Thresholds
+from ..sources.scratch import materialize
 from .detect import anomaly_row
 
 
@@ -83,17 +84,21 @@ RULE_KINDS = ("zero_volume", "event_coverage", "dim_coverage")
 
 def run_rules(long: DataFrame, hits: DataFrame, reg: Registry, th: Thresholds = Thresholds(),
               kinds: Sequence[str] = RULE_KINDS, domain: str = "web", counts: DataFrame | None = None) -> DataFrame:
-    """Union of the declared rules; without stored ``counts`` the dimensions are counted from the hits."""
+    """Union of the declared rules; without stored ``counts`` the dimensions are counted from the hits, once.
+
+    What several rules read is written first: the KPI rows of the rules on series, and the dimension counts."""
     unknown = set(kinds) - set(RULE_KINDS)
     if unknown:
         raise ValueError(f"unknown rule kinds: {sorted(unknown)}")
     parts = []
+    if counts is None and {"zero_volume", "event_coverage"} <= set(kinds):
+        long = materialize(long, "rule-series")
     if "zero_volume" in kinds:
         parts.append(rule_zero_volume(long, domain=domain))
     if "event_coverage" in kinds:
         parts.append(rule_event_coverage(long, reg, th, domain))
     if "dim_coverage" in kinds and reg.rule_dims:
-        counts = counts if counts is not None else dim_day_counts(hits, reg.date_col, reg.rule_dims)
+        counts = counts if counts is not None else materialize(dim_day_counts(hits, reg.date_col, reg.rule_dims), "rule-counts")
         parts += [rule_blank_jump(counts, th, domain), rule_new_value(counts, th, domain)]
     out = parts[0]
     for p in parts[1:]:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ..functions.predicates import mobile_hit, no_null
 from ..functions.text import as_col, brand_triple, count_where, nonblank, pct, share_where, split_part
 from ..functions.url import url_coalesce
+from ..sources.scratch import materialize
 from .census import column_families, column_values, population_census, top_n
+from .grains import joint_counts
 from .series import top_per_group
 
 
@@ -43,11 +45,13 @@ def suite_hosts(df: DataFrame, suite: str, host: Column, k: int) -> DataFrame:
 
 
 def suite_inventory(df: DataFrame, suite: str, day: str, host: Column, k: int = 10) -> DataFrame:
-    """Census, monthly histogram and top hosts of each suite in one row, from (suite, day) and (suite, host) counts."""
-    days = _suite_days(df, F.lower(F.trim(F.col(suite))), day)
+    """Census, monthly histogram and top hosts of each suite in one row, all from the rows per (suite, day, host) of one pass."""
+    joint = materialize(joint_counts(df, {"suite": F.lower(F.trim(F.col(suite))), "date": F.to_date(as_col(day)), "host": host}), "suite-counts")
+    days = joint.groupBy("suite", "date").agg(F.sum("n").alias("n"))
     months = days.groupBy("suite", F.date_format("date", "yyyy-MM").alias("month")).agg(F.sum("n").alias("hits")).groupBy("suite").agg(
         F.array_sort(F.collect_list(F.struct("month", "hits"))).alias("monthly"))
-    hosts = suite_hosts(df, suite, host, k).groupBy("suite").agg(
+    per_host = joint.where("host <> ''").groupBy("suite", "host").agg(F.sum("n").alias("hits"))
+    hosts = top_per_group(per_host, "suite", k, "hits", "host").groupBy("suite").agg(
         F.array_sort(F.collect_list(F.struct("rank", "host", "hits"))).alias("top_hosts"))
     return _census(days).join(months, "suite", "left").join(hosts, "suite", "left")
 

@@ -11,6 +11,7 @@ from ..functions.text import count_where, nonblank, pct
 from ..functions.url import (host_bucket, host_env_tag, host_path, path_bucket, path_generalize_ids,
                              path_prefix, query_param, url_coalesce, url_host, url_path, url_strip)
 from .census import top_n, with_distincts
+from .grains import rows_of, shares_of, stored_grains
 from .series import cumulative_pct
 
 LOGIN_PATTERN = "(?i)portal|portail|login|auth|signin|member|sso"
@@ -204,10 +205,18 @@ def top_uncovered(rollup: DataFrame, uncovered: Column, k: int = 25) -> DataFram
 
 
 def host_shares(df: DataFrame, host: Column) -> DataFrame:
-    """Every host with its hits, share in percent and environment."""
-    n = df.select(host.alias("host")).where("host <> ''").groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    total = n.agg(F.sum("n")).scalar()
-    return n.withColumn("pct", pct(F.col("n"), total)).withColumn("env", host_env_tag("host"))
+    """Every host with its hits, share in percent and environment, from one pass whose counts are written."""
+    return _with_env(stored_grains(df, {"host": host}))
+
+
+def _with_env(counts: DataFrame) -> DataFrame:
+    return shares_of(counts, "host", of_known=True).withColumn("env", host_env_tag("host"))
+
+
+def scope_shares(df: DataFrame, host: Column, suite: str, country: str) -> tuple[DataFrame, DataFrame, DataFrame, Column]:
+    """(hosts, suites, countries, all rows) as the scope reports take them, from one pass over the hits."""
+    counts = stored_grains(df, {"host": host, suite: F.col(suite), country: F.col(country)})
+    return _with_env(counts), shares_of(counts, suite), shares_of(counts, country), rows_of(counts, "host")
 
 
 def unclassified_hosts(hosts: DataFrame, least: float = 0.1, below: float = 1.0) -> DataFrame:

@@ -59,3 +59,24 @@ def test_top_k_is_not_a_full_sort(spark):
 def test_adapter_scan_is_pruned(spark):
     text = plan(entry.queries()["daily_hits"](spark, SF))
     assert re.search(r"ReadSchema: struct<ts:timestamp_ntz>", text)
+
+
+@pytest.mark.parametrize(("name", "most"), [("scope_tiers", 0), ("tier_coverage", 0), ("unclassified_hosts", 0), ("suite_inventory", 0), ("run_rules", 0), ("fid_dims", 1), ("fid_events", 1)])
+def test_reports_of_many_counts_read_the_hits_once(spark, name, most):
+    """What they derive comes from counts that one pass has written; the plan left reads the hits at most once more."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    text = plan(entry.queries()[name](spark, SF))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert len(re.findall(r"FileScan parquet .*Location: [^\n]*(?:events|orders|pages)\.parquet", text)) <= most
+
+
+def test_all_grains_come_from_one_scan(spark):
+    from pyspark.sql import functions as F
+    from clickgauge.operators import grains
+    h = adapters.event_hits(spark, SF)
+    cols = {"host": F.col("language"), "suite": F.col("rsid"), "country": F.col("geo_country")}
+    text = plan(grains.grain_counts(h, cols))
+    assert text.count("FileScan") == 1 and text.count("Expand") == 1
+    got = {(r["grain"], r["value"]): r["n"] for r in grains.grain_counts(h, cols).collect()}
+    want = {(g, r[0]): r[1] for g, c in cols.items() for r in h.groupBy(c).count().collect()}
+    assert got == want
