@@ -21,8 +21,10 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without lines that many sites share unless it has no others; ``n_chars`` follows the text."""
-    cleaned = linededup.dedup(docs, report=False, half=False)
+    """Every document, without lines that many sites share unless it has no others; a column ``n_chars`` follows the text."""
+    cleaned = linededup.dedup(docs, report=False)
+    if "n_chars" not in docs.columns:
+        return cleaned
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
