@@ -1,8 +1,10 @@
 """The learned operators: held-out accuracy, odd rows, and the parts that have exact answers."""
 from __future__ import annotations
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -110,18 +112,91 @@ def test_language(data, empty):
     assert langid.predicted(empty).count() == 0
 
 
+def naive(rows):
+    """Dictionaries of the interpolated model: rows (text, lang); gives the log probability of a four-gram in a language."""
+    tables = {}
+    for text, lang in rows:
+        grams = tables.setdefault(lang, Counter())
+        for w in langid.words_of(text):
+            padded = "\x01" * 3 + w + "\x02"
+            grams.update(padded[i:i + 4] for i in range(len(w) + 1))
+    orders = {}
+    for lang, grams in tables.items():
+        now = dict(grams)
+        for k in range(4, 0, -1):
+            ones, twos = (sum(n == c for n in now.values()) for c in (1, 2))
+            d = max(ones / (ones + 2 * twos), 0.1) if ones + twos else 0.5
+            total, kinds = Counter(), Counter()
+            for g, n in now.items():
+                total[g[:-1]] += n
+                kinds[g[:-1]] += 1
+            orders[lang, k] = (now, d, total, kinds)
+            now = dict(Counter(g[1:] for g in now))
+    floor = 1 / max(64, 2 * sum(len(orders[x, 1][0]) for x in tables))
+
+    def p(lang, g):
+        if not g:
+            return floor
+        n, d, total, kinds = orders[lang, len(g)]
+        c = g[:-1]
+        if c not in total:
+            return p(lang, g[1:])
+        return max((n.get(g, 0) - d) / total[c], 0.0) * (g in n) + d * kinds[c] / total[c] * p(lang, g[1:])
+
+    return sorted(tables), lambda lang, g: math.log(p(lang, g))
+
+
+def entropy(logp, lang, text):
+    words = langid.words_of(text)
+    padded = ["\x01" * 3 + w + "\x02" for w in words]
+    return -sum(logp(lang, w[i:i + 4]) for w in padded for i in range(len(w) - 3)) / sum(len(w) - 3 for w in padded)
+
+
+@pytest.mark.parametrize("cells", [langid.CELLS, 300, 0])
+def test_entropies_equal_dictionaries(data, cells):
+    """However few grams a task holds, the sums are those of the whole model, for seen and unseen grams."""
+    docs, _, rows, _ = data
+    asked = [(1, rows[0][1]), (2, rows[1][1]), (3, "zzz qqq Ünknown"), (4, rows[3][1] + " 漢字 " + rows[2][1])]
+    trained = langid.train(docs.where("doc_id < 300"))
+    langs, logp = naive([(t, lang) for d, t, lang, *_ in rows if d is not None and d < 300 and lang])
+    got = {r["doc_id"]: r for r in langid.identified(docs.sparkSession.createDataFrame(asked, "doc_id long, text string"), trained, cells=cells).collect()}
+    assert trained.langs == langs == ["de", "en"]
+    for i, text in asked:
+        h = {x: entropy(logp, x, text) for x in langs}
+        best = min(langs, key=lambda x: h[x])
+        assert got[i]["lang_pred"] == best and abs(got[i]["entropy"] - h[best]) < 1e-5
+        assert abs(got[i]["score"] - 1 / sum(math.exp(-langid.SHARPNESS * (h[x] - h[best])) for x in langs)) < 1e-4
+
+
+def test_many_languages_told_apart_by_rare_grams(spark):
+    """Sixty languages of the same letters, each with a few words of its own, one in a script above U+FFFF."""
+    rng = random.Random(5)
+    common, rows, asked = sentence(rng, 200), [], []
+    scripts = ["aeioustrn"] * 58 + ["".join(map(chr, range(0x1E900, 0x1E920))), "".join(map(chr, range(0x104B0, 0x104D0)))]
+    own = [["".join(rng.choice(letters) for _ in range(9)) for _ in range(12)] for letters in scripts]
+    for i, words in enumerate(own):
+        name = f"l{i:02d}"
+        for _ in range(6):
+            text = words + (rng.sample(common, 60) if i < 58 else [])
+            rng.shuffle(text)
+            rows.append((len(rows), " ".join(text), name))
+        asked.append((i, " ".join(rng.sample(words, 6) + (rng.sample(common, 30) if i < 58 else [])), name))
+    trained = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    for cells in (langid.CELLS, 60_000):
+        got = langid.identified(spark.createDataFrame(asked, "doc_id long, text string, lang string"), trained, keep=("lang",), cells=cells).collect()
+        assert len(got) == 60 and all(r["lang"] == r["lang_pred"] for r in got)
+
+
 def test_kneser_ney_sums_to_one(data):
+    """Over all characters that may follow a context, in either language."""
     docs, *_ = data
-    models = langid.train(docs)
-    assert models.langs == ["de", "en"]
-    chars = np.unique(np.concatenate([models._parts[1, x][0] for x in models.langs]))
+    trained = langid.train(docs)
+    last = {r["gram"] for r in trained.shares[1].where("lang = 'en'").collect()}
     for context in ("\x01\x01\x01", "aei", "zzz"):
         head = sum(ord(c) << 16 * (3 - i) for i, c in enumerate(context))
-        for i in range(2):
-            own = models._parts[1, models.langs[i]][0]
-            p = np.exp(models._exact(np.uint64(head) | own))[:, i].sum()
-            rest = np.exp(models._exact(np.uint64(head) | chars))[:, i].sum()
-            assert 0.9 < p <= 1.0 + 1e-9 and p <= rest
+        grams = docs.sparkSession.createDataFrame([(head | g,) for g in last], "gram long")
+        total = sum(np.exp(r["logp"][1]) for r in trained.probabilities(grams).collect())
+        assert 0.9 < total <= 1.0 + 1e-9
 
 
 def test_gram_counts_cover_all_rows(data):
