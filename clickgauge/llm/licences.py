@@ -1,7 +1,8 @@
 """Licence scan by recognised sentences.
 
-A text is cut into sentences; those that speak of licensing are normalised and mapped to identifiers
-of known licence sentences. The identifiers of a document, in order, are then matched against ordered
+A text is cut into sentences at full stops, blank lines and list items; a wrapped line goes on with its
+sentence, without the comment mark before it, and so does a clause after a semicolon. Sentences that speak
+of licensing are normalised and mapped to identifiers of known licence sentences, SPDX lines included. The identifiers of a document, in order, are then matched against ordered
 licence rules, longest rule first, leftmost and without overlap. Everything happens within the row, so
 nothing is shuffled.
 
@@ -16,8 +17,14 @@ from pyspark.sql import functions as F
 from ..functions.text import bind
 from .common import ascii_lower, whole
 
+# SPDX identifiers, those that begin like others first, and their normalised forms.
+SPDX = tuple((name, name.lower().replace("-", " ")) for name in (
+    "Apache-2.0", "BSD-3-Clause", "BSD-2-Clause", "MIT", "ISC", "AGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0", "GPL-3.0-or-later", "GPL-3.0-only",
+    "GPL-3.0", "GPL-2.0-or-later", "GPL-2.0-only", "GPL-2.0", "LGPL-3.0-or-later", "LGPL-3.0-only", "LGPL-3.0", "LGPL-2.1-or-later", "LGPL-2.1-only",
+    "LGPL-2.1", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "Unlicense"))
 # Known sentences as patterns over normalised text, first match wins.
 SENTENCES = {
+    **{f"spdx{i}": f"spdx license identifier:? {p}( |$)" for i, (_, p) in enumerate(SPDX)},
     "gpl3later": "gnu general public licen[sc]e.* version 3.* or (at your option )?any later version",
     "gpl2later": "gnu general public licen[sc]e.* version 2.* or (at your option )?any later version",
     "lgpl3": "gnu lesser general public licen[sc]e.* (version|v) ?3",
@@ -40,6 +47,7 @@ SENTENCES = {
     "bsdendorse": "neither the name of .* may be used to endorse or promote",
     "bsdname": "under (the|a) (new |modified |simplified |3 clause |2 clause )?bsd ?(style )?licen[sc]e",
     "iscgrant": "permission to use copy modify and or distribute this software for any purpose with or without fee",
+    "iscasis": "the software is provided as is and .*disclaims all warranties",
     "mpl2": "mozilla public licen[sc]e,? (version|v)? ?2",
     "ccbyncnd": "cc by nc nd [0-9.]+|creative commons attribution noncommercial noderiv",
     "ccbyncsa": "cc by nc sa [0-9.]+|creative commons attribution noncommercial sharealike",
@@ -58,6 +66,7 @@ RULES = (
     ("BSD-3-Clause", ("bsdgrant", "bsdsource", "bsdbinary", "bsdendorse")),
     ("BSD-2-Clause", ("bsdgrant", "bsdsource", "bsdbinary")),
     ("MIT", ("mitgrant", "mitnotice", "mitasis")),
+    ("ISC", ("iscgrant", "iscasis")),
     ("ISC", ("iscgrant", "mitasis")),
     ("MIT", ("mitgrant", "mitnotice")),
     ("Apache-2.0", ("apache2", "apachecopy")),
@@ -81,9 +90,14 @@ RULES = (
     ("CC-BY", ("ccby",)),
     ("CC0-1.0", ("cc0",)),
     ("Public-Domain", ("public",)),
+    ("ISC", ("iscgrant",)),
+    *((name, (f"spdx{i}",)) for i, (name, _) in enumerate(SPDX)),
 )
 HINT = "[Ll][Ii][Cc][Ee][Nn]|[Cc][Oo][Pp][Yy][Rr]|[Pp][Ee][Rr][Mm][Ii][Ss]|[Ww][Aa][Rr][Rr][Aa]|[Rr][Ee][Dd][Ii][Ss]|[Cc][Cc] [Bb][Yy]|[Cc][Cc]0|[Pp][Uu][Bb][Ll][Ii][Cc] [Dd]|[Rr][Ii][Gg][Hh][Tt][Ss] [Rr]|[Aa][Ss] [Ii][Ss]|[Cc][Rr][Ee][Aa][Tt][Ii][Vv][Ee]|[Nn][Ee][Ii][Tt][Hh][Ee][Rr]"
-SENTENCE_END = "[.!?;]+[ \\t\\r\\n]|\\n"
+# Comment marks at the start of a line; lines that begin something new; "v. 2" is no end of a sentence.
+UNWRAP = (("(^|\\n)[ \\t]*(?:/\\*+|\\*+/|//+|[*#;]+|--+|<!--|\"\"\"|dnl |REM )[ \\t]*", "{1}"), ("\\n[ \\t]*(Copyright|SPDX-|All rights)", "\\n\\n{1}"),
+          ("(SPDX-License-Identifier:[^\\n]*)\\n", "{1}\\n\\n"), ("([ \\n][vV])[.] ?([0-9])", "{1} {2}"))
+SENTENCE_END = "[.!?]+[ \\t\\r\\n]|\\n[ \\t\\r]*\\n|\\n[ \\t]*(?:-|[0-9]+[.)]|[(][0-9a-z][)])[ \\t]"
 
 
 def normalised(sentence: Column) -> Column:
@@ -92,6 +106,13 @@ def normalised(sentence: Column) -> Column:
     return F.btrim(plain, F.lit(" .,"))
 
 
+def unwrapped(text: Column) -> Column:
+    """The text without comment marks; what begins a paragraph of its own stands apart."""
+    for pattern, by in UNWRAP:
+        text = F.regexp_replace(text, pattern, by.replace("\\n", "\n").format(None, "$1", "$2"))
+    return text
+
+
 def sentence_id(sentence: Column) -> Column:
     case = None
     for name, pattern in SENTENCES.items():
@@ -101,7 +122,7 @@ def sentence_id(sentence: Column) -> Column:
 
 def identifiers(text: Column) -> Column:
     """(place among the sentences, identifier) of each known sentence, in order."""
-    numbered = F.transform(F.split(text, SENTENCE_END), lambda s, i: F.struct(i.alias("sentence"), s.alias("s")))
+    numbered = F.transform(F.split(unwrapped(text), SENTENCE_END), lambda s, i: F.struct(i.alias("sentence"), s.alias("s")))
     likely = F.filter(numbered, lambda x: x["s"].rlike(HINT))
     named = F.transform(likely, lambda x: F.struct(
         x["sentence"].alias("sentence"), sentence_id(F.regexp_replace(normalised(x["s"]), ",", "")).alias("id")))
@@ -145,9 +166,13 @@ def sql() -> str:
     longest_first = sorted(RULES, key=lambda r: -len(r[1]))
     rules = " ".join(f"when {quoted(_token(ids))} then {quoted(n)}" for n, ids in longest_first)
     pattern = quoted("|".join(_token(ids) for _, ids in longest_first))
+    text = "coalesce(text, '')"
+    for p, by in UNWRAP:
+        chosen = quoted(by.format(None, "\\1", "\\2")).replace("\\n", "' || chr(10) || '")
+        text = f"regexp_replace({text}, {quoted(p)}, {chosen}, 'g')"
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return rf"""
-with d as (select doc_id, string_split_regex(coalesce(text, ''), '[.!?;]+[ \t\r\n]|\n') as ss from documents),
+with d as (select doc_id, string_split_regex({text}, {quoted(SENTENCE_END)}) as ss from documents),
 l as (select doc_id, list_filter(list_transform(ss, lambda x, i: {{'i': i - 1, 's': x}}), lambda x: regexp_matches(x.s, {quoted(HINT)})) as c from d),
 n as (select doc_id, list_transform(c, lambda x: {{'i': x.i, 's': replace(trim(regexp_replace(translate(x.s, '{upper}', '{lower}'),
   '[^a-z0-9.,]+', ' ', 'g'), ' .,'), ',', '')}}) as c from l),
