@@ -9,6 +9,8 @@ from ..functions.events import raw_tokens, bare_id, event_presence
 
 from ..operators import dq as Q
 from ..operators import joins as J
+from ..sources import scratch
+from ..sources.visits import HOT_ROWS, VisitTable
 
 from .base import on_hits, on_orders
 from .expressions import IDS_SQL
@@ -35,6 +37,35 @@ def _(h):
     return out.withColumn("share_b_retained", F.round("share_b_retained", 9))
 
 
+def visit_table(h, start=None, hot_rows=HOT_ROWS):
+    """The hits by visit, with a fifth of the days written twice."""
+    path = scratch.scratch_path(h.sparkSession, "visits")
+    table = VisitTable(h.sparkSession, "visits_" + path.rsplit("-", 1)[-1], "hit_date")
+    rows = h.select("hit_id", "href", "campaign", "post_visid_high", "post_visid_low", "visit_num", "hit_date")
+    table.write(rows.where("hit_date < date '2024-01-25' or hit_id % 2 = 0"), visit(), path, buckets=8, hot_rows=hot_rows)
+    table.write(rows, visit(), path, "2024-01-25", buckets=8, hot_rows=hot_rows)
+    return table
+
+
+@on_hits("visit_table_qualified", f"select hit_id from hits where {VK} in (select {VK} from hrefs where {ANY_SQL} and {VK} <> '')", HREFS)
+def _(h):
+    return visit_table(h).qualified(P.any_rule(RULES, "href")).select("hit_id")
+
+
+@on_hits("visit_table_overlap", f"""select count(*) filter (where a) as visits_a, count(*) filter (where b) as visits_b, count(*) filter (where a and b) as both,
+    count(*) filter (where a and not b) as a_only, count(*) filter (where b and not a) as b_only,
+    round(count(*) filter (where a and b) / count(*) filter (where b), 9) as share_b_retained from
+    (select {VK} as vk, bool_or({ANY_SQL}) as a, bool_or(campaign = 'abc') as b from hrefs where {VK} <> '' group by 1)""", HREFS)
+def _(h):
+    """With a limit so low that some visits are hot."""
+    return visit_table(h, hot_rows=3).overlap(P.any_rule(RULES, "href"), F.col("campaign") == "abc").withColumn("share_b_retained", F.round("share_b_retained", 9))
+
+
+@on_hits("visit_table_daily", f"select hit_date, count(distinct {VK}) as visits, count(*) as hits from hits where {VK} <> '' group by 1")
+def _(h):
+    return visit_table(h).daily_visits()
+
+
 @on_orders("gap_days", """select date from (select cast(unnest(generate_series(min(hit_date), max(hit_date), interval 1 day)) as date) as date from ohits)
     where date not in (select hit_date from ohits)""")
 def _(o):
