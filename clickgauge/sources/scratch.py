@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 _local_dirs: dict[str, str] = {}
@@ -71,11 +72,26 @@ def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]
         _remove(spark, spent)
 
 
+@contextmanager
+def _shuffle_files_go(spark: SparkSession) -> Iterator[None]:
+    """Writes within leave no shuffle files: their tables are complete, so nobody reads the files again."""
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF, None)
+    spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP_CONF)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once and read back: cuts lineage durably, and later reads survive lost executors."""
     path = scratch_path(df.sparkSession, label)
     _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
-    df.write.parquet(path)
+    with _shuffle_files_go(df.sparkSession):
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
