@@ -98,14 +98,23 @@ def test_a_template_gives_no_square_of_candidates(spark, monkeypatch):
         made.clear()
         docs = spark.createDataFrame([(i, " ".join(form[:9] + [f"w{i}a", f"w{i}b", f"w{i}c"] + form[9:])) for i in range(n)], "doc_id long, text string")
         assert jaccard.links(docs).count() == 0
-        assert made["star-pairs"] + made.get("rest-pairs", 0) <= n
-
-
-def test_parity_maps_lose_no_similar_pair():
-    rng = random.Random(6)
-    for _ in range(300):
-        a = {rng.getrandbits(62) for _ in range(rng.randint(1, 900))}
-        b = {x for x in a if rng.random() > 0.1} | {rng.getrandbits(62) for _ in range(rng.randint(0, 40))}
-        if alike(a, b):
-            p, q = (jaccard.parity(jaccard.np.array(sorted(x), dtype="int64")) for x in (a, b))
-            assert 9 * sum((int(x) ^ int(y)).bit_count() if (int(x) ^ int(y)) >= 0 else ((int(x) ^ int(y)) & (2**64 - 1)).bit_count() for x, y in zip(p, q)) <= len(a) + len(b)
+        assert made["star-pairs"] + made.get("more-pairs", 0) <= n
+
+
+def test_parity_maps_lose_no_similar_pair(spark):
+    """Neither the short map nor the wide one, equal in width or folded."""
+    from pyspark.sql import functions as F
+    rng, rows, kinds = random.Random(6), [], set()
+    for i in range(400):
+        a = {rng.getrandbits(62) for _ in range(rng.choice([1, 40, 250, 270, 500, 1000, 1100]) + rng.randint(0, 30))}
+        b = {x for x in a if rng.random() > 0.1} | {rng.getrandbits(62) for _ in range(rng.randint(0, 60))}
+        p, q = (jaccard.np.array(sorted(x), dtype="int64") for x in (a, b))
+        if len(b) and 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)):
+            kinds.add(len(jaccard.wide(p)) == len(jaccard.wide(q)))
+            rows.append((alike(a, b), len(a), len(b), *[f(x).tolist() for f in (jaccard.parity, jaccard.wide) for x in (p, q)]))
+    df = spark.createDataFrame(rows, "alike boolean, n int, k int, ma array<long>, mb array<long>, wa array<long>, wb array<long>")
+    short = jaccard._agree(F.col("n"), F.col("k"), F.col("ma"), F.col("mb"))
+    wide = jaccard._agree_wide(F.col("n"), F.col("k"), F.col("wa"), F.col("wb"))
+    got = df.select("alike", short.alias("short"), wide.alias("wide")).collect()
+    assert kinds == {True, False} and all(r["short"] and r["wide"] for r in got if r["alike"]) and sum(r["alike"] for r in got) > 100
+    assert sum(not r["wide"] for r in got) > 0
