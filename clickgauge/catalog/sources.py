@@ -195,6 +195,20 @@ def _(o):
     return spark.read.parquet(path)
 
 
+@on_orders("upsert_by_month", """select hit_id as anomaly_id, case when language = 'F' then 'closed' else 'open' end as status, language = 'F' as reconciled,
+    case when hit_date >= date '1997-01-01' and language <> 'F' then 2.0::double else 1.0 end as score, (year(hit_date) * 100 + month(hit_date))::int as month from ohits""")
+def _(o):
+    """All rows first, of which analysts close F; then new scores for the later months only."""
+    spark, path = o.sparkSession, scratch.scratch_path(o.sparkSession, "upsert-months")
+
+    def rows(df, score, status, done):
+        return df.select(F.col("hit_id").alias("anomaly_id"), F.expr(status).alias("status"), F.expr(done).alias("reconciled"), F.expr(score).alias("score"),
+                         F.expr("year(hit_date) * 100 + month(hit_date)").alias("month"))
+    sinks.upsert_preserve(rows(o, "1.0D", "case when language = 'F' then 'closed' else 'open' end", "language = 'F'"), path, by="month")
+    sinks.upsert_preserve(rows(o.where("hit_date >= date '1997-01-01' and language <> 'F'"), "2.0D", "'open'", "false"), path, by="month")
+    return spark.read.parquet(path)
+
+
 @on_hits("slim_export", "select hit_date, language, rsid from hits")
 def _(h):
     return sinks.slim_export(h, ["hit_date", "language", "rsid", "language"])

@@ -254,7 +254,8 @@ def _publish(spark: SparkSession, feed: Feed, tables: Tables, run_id: str, mode:
     counts = spark.read.parquet(tables.dims) if feed.registry.rule_dims else None
     at = detected_at or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     found = findings(long, hits, feed, at, th, counts=counts).withColumn("run_id", F.lit(run_id))
-    sinks.upsert_preserve(found, tables.anomalies)
+    # An anomaly's id is made of its date, so the month it lies in never changes.
+    sinks.upsert_preserve(found.withColumn("month", F.year("date") * 100 + F.month("date")), tables.anomalies, by="month")
     mine = spark.read.parquet(tables.anomalies).where(F.col("run_id") == run_id)
     row = run_meta(mine, long, feed, run_id, th=th).withColumn("source_watermark", F.lit(watermark))
     sinks.append_meta(row, tables.meta)

@@ -169,13 +169,62 @@ def merge_preserving(old: DataFrame, new: DataFrame, key: str, preserved: Sequen
 
 
 def upsert_preserve(new: DataFrame, path: str, key: str = "anomaly_id",
-                    preserved: Sequence[str] = ("status", "reconciled")) -> None:
-    """Merge ``new`` into the table at ``path``; a repeat changes nothing."""
+                    preserved: Sequence[str] = ("status", "reconciled"), by: str | None = None) -> None:
+    """Merge ``new`` into the table at ``path``; a repeat changes nothing.
+
+    With ``by``, a column that the key determines (the month of a key made of a date, say), the table is
+    partitioned by it and only partitions that hold incoming rows are read and replaced; all other files stay.
+    Without, the whole table is rewritten."""
     spark = new.sparkSession
     recover(spark, path)
+    if by is None:
+        if path_exists(spark, path):
+            new = merge_preserving(spark.read.parquet(path), new, key, preserved)
+        full_overwrite(new, path)
+        return
+    recover_partitions(spark, path)
     if path_exists(spark, path):
-        new = merge_preserving(spark.read.parquet(path), new, key, preserved)
-    full_overwrite(new, path)
+        old = spark.read.schema(_with_kind(spark.read.parquet(path).schema, by, new)).parquet(path)
+        touched = new.select(by).distinct()  # one row a partition
+        old = old.join(F.broadcast(touched), old[by].eqNullSafe(touched[by]), "left_semi")
+        new = merge_preserving(old, new, key, preserved)
+    tag = uuid.uuid4().hex
+    new.hint("rebalance", by).write.partitionBy(by).parquet(f"{path}{PARTS}{tag}")
+    recover_partitions(spark, path)
+
+
+PARTS, GONE = ".parts-", ".gone-"
+
+
+def _with_kind(schema, col: str, like: DataFrame):
+    """The schema with ``col`` of the type it has in ``like``: types of partition columns are only guessed."""
+    kinds = [like.schema[col] if f.name == col else f for f in schema.fields]
+    return type(schema)(kinds)
+
+
+def recover_partitions(spark: SparkSession, path: str) -> None:
+    """Put finished partitions in place, each by two renames; an unfinished set of them is dropped.
+
+    A set is finished when it has its success marker. Cut off anywhere, a repeat goes on where it stopped:
+    a partition that has been moved in is no longer in the set, one whose old version is set aside still is."""
+    fs, target = _fs(spark, path)
+    parent, name = target.getParent(), target.getName()
+    for entry, is_dir, _ in sorted(listing(spark, str(parent))):
+        if not entry.startswith(f"{name}{PARTS}"):
+            continue
+        made, gone = f"{parent}/{entry}", f"{parent}/{name}{GONE}{entry.removeprefix(name + PARTS)}"
+        if path_exists(spark, f"{made}/_SUCCESS"):
+            fs.mkdirs(target)
+            fs.mkdirs(_fs(spark, gone)[1])
+            for part in (n for n, is_dir, _ in listing(spark, made) if is_dir and "=" in n):
+                place = _fs(spark, f"{path}/{part}")[1]
+                if fs.exists(place):
+                    fs.rename(place, _fs(spark, f"{gone}/{part}")[1])
+                fs.rename(_fs(spark, f"{made}/{part}")[1], place)
+        fs.delete(_fs(spark, made)[1], True)
+    for entry, _, _ in listing(spark, str(parent)):
+        if entry.startswith(f"{name}{GONE}"):
+            fs.delete(_fs(spark, f"{parent}/{entry}")[1], True)
 
 
 def slim_export(df: DataFrame, columns: Sequence[str]) -> DataFrame:
