@@ -110,9 +110,17 @@ def _(o):
     return stamped(D.detect_univariate(order_gold(o), ORDER_REG))
 
 
-@on_orders("anomaly_row", UNI_SQL, *REGION)
-def _(o):
-    return stamped(D.detect_univariate(order_gold(o), ORDER_REG)).select(*D.ANOMALY_COLUMNS)
+@on_hits("anomaly_row", _row_sql("busy where v > m", "busy_suite", "operational", "local:example", "metric_id", "seg", "round(v, 4)", "round(m, 4)", "round(v / m, 3)", "1.0::double",
+                                 "case when v > 1.2 * m then 'major' else 'minor' end"),
+         "busy as (select hit_date as date, 'hits_' || rsid as metric_id, rsid as seg, count(*)::double as v, (select avg(n) from (select count(*) as n from hits group by hit_date, rsid)) as m from hits group by hit_date, rsid)")
+def _(h):
+    """The canonical columns around findings of a caller's own: suites on days busier than the mean."""
+    days = h.groupBy(F.col("hit_date").alias("date"), "rsid").agg(F.count(F.lit(1)).cast("double").alias("v"))
+    m = days.agg(F.avg("v")).scalar()
+    v = F.col("v")
+    found = D.anomaly_row(days.withColumn("m", m).where("v > m"), "busy_suite", cls="operational", model_uri="local:example", observed=v, expected=F.col("m"), score=v / F.col("m"),
+                          threshold=1.0, level=F.when(v > 1.2 * F.col("m"), "major").otherwise("minor"), segment=F.col("rsid"), metric=F.concat(F.lit("hits_"), "rsid"))
+    return stamped(found).select(*D.ANOMALY_COLUMNS)
 
 
 @on_orders("level_shift_scores", "select date, metric_id, round(zz, 6) + 0.0 as z from shift", *REGION)
@@ -331,9 +339,11 @@ def _(o):
     return _recall(o)
 
 
-@on_orders("recall_range_join", RECALL_SQL, *FOUND, MANIFEST_SQL)
+@on_orders("recall_range_join", """select scenario, type, f.date, f.metric_id, f.detector, cast(f.date - d0 as int) as day from manifest
+    join found f on f.date between d0 and d1 and list_contains(metrics, f.metric_id)""", *FOUND, MANIFEST_SQL)
 def _(o):
-    return _recall(o)
+    met = E.recall_range_join(all_findings(o), N.manifest(o.sparkSession, SCENARIOS))
+    return met.select("scenario", "type", "date", "metric_id", "detector", F.datediff("date", "date_start").alias("day"))
 
 
 OUTSIDE = ("not exists (select 1 from manifest where f.date between d0 and d1) and f.date not in ("

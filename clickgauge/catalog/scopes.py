@@ -323,7 +323,9 @@ def _(h):
     return S.mobile_tops(h, ["mobileappid", "mobiledevice", "hit_source"], 5)
 
 
-@on_hits("mobile_families", "select 'app_metadata' as family, 2::bigint as columns, (count(distinct nullif(mobileappid, '')) > 0)::bigint + (count(mobiledevice) > 0)::bigint as populated_columns from hits")
+@on_hits("mobile_families", """select 'app_metadata' as family, count(*) as columns, (count(*) filter (where filled > 0))::bigint as populated_columns from
+    (select name, sum((coalesce(trim(value), '') <> '')::int) as filled from (select mobileappid, coalesce(mobiledevice, '') as mobiledevice from hits)
+     unpivot include nulls (value for name in (mobileappid, mobiledevice)) group by name)""")
 def _(h):
     return S.mobile_families(h)
 

@@ -36,12 +36,18 @@ def window_days(windows: DataFrame, start: str = "date_start", end: str = "date_
     return windows.withColumn("date", days)
 
 
-def score_recall(anomalies: DataFrame, manifest: DataFrame) -> DataFrame:
-    """One row per scenario: detected?, by what, after how many days, how many flags."""
+def recall_range_join(anomalies: DataFrame, manifest: DataFrame, how: str = "inner") -> DataFrame:
+    """Findings within the window and among the relevant metrics of each scenario: windows as days, metrics as
+    rows, so that a range becomes a hash join. With ``how='left'`` days without a finding stay, too."""
     cells = window_days(manifest.withColumn("relevant", relevant_metrics(F.col("type"), F.col("scope"))))
     cells = cells.select(F.col("anomaly_id").alias("scenario"), "type", "date_start", "date",
                          F.explode("relevant").alias("metric_id"))
-    found = cells.join(anomalies.select("date", "metric_id", "detector"), ["date", "metric_id"], "left")
+    return cells.join(anomalies.select("date", "metric_id", "detector"), ["date", "metric_id"], how)
+
+
+def score_recall(anomalies: DataFrame, manifest: DataFrame) -> DataFrame:
+    """One row per scenario: detected?, by what, after how many days, how many flags."""
+    found = recall_range_join(anomalies, manifest, "left")
     hit = F.col("detector").isNotNull()
     return found.groupBy("scenario", "type").agg(
         F.max(hit).alias("detected"), F.array_sort(F.collect_set("detector")).alias("detectors"),
