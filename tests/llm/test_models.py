@@ -76,6 +76,43 @@ def test_normal_equations_do_not_depend_on_partitions(data):
     assert np.allclose(a.weights, b.weights, atol=1e-6)
 
 
+def test_fit_equals_a_dense_ridge_solution(data):
+    """Statistics collected and standardised, features written out, the penalised least squares solved in one piece."""
+    docs, labels, *_ = data
+    stats = quality.described(docs)
+    model = quality.fit(stats, labels)
+    marked = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality").distinct()
+    rows = stats.join(marked, "doc_id").selectExpr("x", "quality", "pmod(xxhash64(doc_id), 4) = 0 as calibrates").collect()
+    x, y, later = np.array([r["x"] for r in rows]), np.array([r["quality"] for r in rows], float), np.array([r["calibrates"] for r in rows])
+    sd = x.std(axis=0)
+    z = np.clip((x - x.mean(axis=0)) / np.where(sd > 1e-9, sd, 1.0), -8, 8)
+    rng = np.random.default_rng(quality.SEED)
+    w = rng.standard_normal((x.shape[1], quality.FEATURES)) / np.sqrt(x.shape[1])
+    b = rng.uniform(0, 2 * np.pi, quality.FEATURES)
+    f = np.array([[np.sqrt(2 / quality.FEATURES) * math.cos(sum(zi * wi for zi, wi in zip(row, w[:, k])) + b[k]) for k in range(quality.FEATURES)] + [1.0] for row in z])
+    f, y, scored = f[~later], y[~later], f[later]
+    penalty = math.sqrt(quality.RIDGE * len(rows) / f.shape[1])
+    dense = np.linalg.lstsq(np.vstack([f, penalty * np.eye(f.shape[1])]), np.concatenate([y, np.zeros(f.shape[1])]), rcond=None)[0]
+    assert np.abs(f @ dense - f @ model.weights).max() < 1e-6 and np.abs(scored @ dense - scored @ model.weights).max() < 1e-6
+    assert (np.diff(model.knots) >= -1e-12).all()
+
+
+def test_logit_equals_a_naive_convolution():
+    """Loops over positions, filters and dimensions, largest answer first, then the rectifier and the output row."""
+    rng = np.random.default_rng(4)
+    net = toxicity.Network.fresh()
+    for n in (1, 2, 5):
+        pairs = rng.integers(0, toxicity.BUCKETS, (n, 2)).astype(np.int32)
+        words = [[float(net.embed[a][d] + net.embed[b][d]) for d in range(toxicity.DIM)] for a, b in pairs]
+        pooled = []
+        for width in toxicity.WIDTHS:
+            for k in range(toxicity.FILTERS):
+                answers = [sum(words[at + i][d] * net.filters[width][i * toxicity.DIM + d][k] for i in range(width) for d in range(toxicity.DIM))
+                           for at in range(n - width + 1)]
+                pooled.append(max(0.0, *answers, 0.0) if answers else 0.0)
+        assert abs(sum(h * o for h, o in zip(pooled, net.out)) + net.bias - net.logit(pairs)) < 1e-9
+
+
 def test_toxicity(data, empty):
     docs, labels, rows, truth = data
     got = toxicity.scored(docs, labels).collect()
