@@ -18,18 +18,17 @@ def crosstab_pct(df: DataFrame, a: str, b: str, k: int | None = None) -> DataFra
     return shown.withColumn("pct", pct(F.col("n"), total))
 
 
-def clock_skew(df: DataFrame, local: Column, epoch: str | Column, exact: bool = False) -> DataFrame:
-    """p5, p50 and p95 of local wall clock minus epoch, in seconds.
+def clock_skew(df: DataFrame, local: Column, epoch: str | Column, interpolate: bool = False) -> DataFrame:
+    """Exact p5, p50 and p95 of local wall clock minus epoch, in seconds: skews that occur, or ``interpolate``d ones.
 
-    The exact form counts each skew first, so its state is bounded by distinct skews.
+    Skews are counted first, so the state is bounded by distinct skews.
     """
     skew = df.select((F.unix_timestamp(local) - as_col(epoch).try_cast("bigint")).alias("s")).where("s is not null")
-    if exact:
+    ranks = {"p5": 0.05, "p50": 0.5, "p95": 0.95}
+    if interpolate:
         counted = skew.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
-        p = counted.agg(F.percentile("s", [0.05, 0.5, 0.95], F.col("n")).alias("p"))
-    else:
-        p = skew.agg(F.percentile_approx("s", [0.05, 0.5, 0.95]).alias("p"))
-    return p.select(*[F.col("p")[i].alias(name) for i, name in enumerate(("p5", "p50", "p95"))])
+        return counted.agg(*[F.percentile("s", q, F.col("n")).alias(p) for p, q in ranks.items()])
+    return skew.agg(*[F.expr(f"percentile_disc({q}) within group (order by s)").alias(p) for p, q in ranks.items()])
 
 
 def second_latest_day(df: DataFrame, day: str) -> Column:

@@ -187,7 +187,7 @@ def fid_identity(df: DataFrame, key: Sequence[str], visitor: str, expected_visit
 def fid_clock_skew(df: DataFrame, local: Column, epoch: str | Column, expected: tuple[int, int, int]) -> DataFrame:
     """Exact p5/p50/p95 of the clock skew."""
     from .feedquality import clock_skew
-    got = clock_skew(df, local, epoch, exact=True)
+    got = clock_skew(df, local, epoch, interpolate=True)
     rows = F.array(*[F.struct(F.lit(p).alias("item"), F.lit(e).cast("double").alias("expected"), F.col(p).alias("actual"),
                               (F.col(p).cast("int") == e).alias("ok")) for p, e in zip(("p5", "p50", "p95"), expected)])
     return got.select(F.inline(rows))
