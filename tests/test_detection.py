@@ -183,3 +183,14 @@ def test_unknown_scenario_type_fails(spark):
     bad = N.manifest(spark, [N.Scenario("x", "teleport", "hits", "2026-03-01", "2026-03-01", 1.0)])
     with pytest.raises(Exception, match="unknown scenario type"):
         bad.select(E.relevant_metrics(F.col("type"), F.col("scope"))).collect()
+
+
+def test_anomaly_row_covers_every_scored_series(spark):
+    """The registered query scores the whole registry against its baselines, not one count of hits."""
+    from clickgauge.catalog import REGISTERED
+    from clickgauge.catalog.detection import ORDER_REG
+    sf = "/root/testdata/sf0.01"
+    got, whole = (REGISTERED[q].build(spark, sf).select(*D.ANOMALY_COLUMNS).collect() for q in ("anomaly_row", "detect_univariate"))
+    assert len({r["metric_id"] for r in got}) > 1 and {r["metric_id"] for r in got} <= {s.metric_id for s in ORDER_REG.scored}
+    assert sorted(map(str, got)) == sorted(map(str, whole))
+    assert REGISTERED["anomaly_row"].sql == REGISTERED["detect_univariate"].sql
