@@ -194,3 +194,12 @@ def test_anomaly_row_covers_every_scored_series(spark):
     assert len({r["metric_id"] for r in got}) > 1 and {r["metric_id"] for r in got} <= {s.metric_id for s in ORDER_REG.scored}
     assert sorted(map(str, got)) == sorted(map(str, whole))
     assert REGISTERED["anomaly_row"].sql == REGISTERED["detect_univariate"].sql
+
+
+def test_recall_range_join_scores_every_scenario(spark):
+    """Scenarios that nothing found are in the result, too: one row each, with what found them and how late."""
+    from clickgauge.catalog import REGISTERED
+    from clickgauge.catalog.detection import SCENARIOS
+    got = REGISTERED["recall_range_join"].build(spark, "/root/testdata/sf0.001")
+    assert set(got.columns) == {"scenario", "type", "detected", "detectors", "delay_days", "flags_in_window"}
+    assert sorted(r["scenario"] for r in got.collect()) == sorted(s.anomaly_id for s in SCENARIOS)
