@@ -37,7 +37,8 @@ SAMPLE = 4_000_000  # shingles looked at for the order
 HEAVY = 500_000     # frequent shingles that the order knows
 MAP = 256           # bits of the parity map that candidates are tried by first
 BROADCAST = 500_000  # pairs whose text hashes, 8 bytes each, are broadcast; more are joined by a shuffle
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 150_000
+ROWS = 1024  # texts whose sets a task holds at once
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 _known: dict[bytes, int] = {}
@@ -93,12 +94,13 @@ def _sets(texts: DataFrame, made, out: str, maps: bool = False) -> DataFrame:
     names = ["th", "n", out, "m", "w"] if maps else ["th", "n", out]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             sets = [shingle_set(x.as_py()) for x in b.column(1)]
             columns = [b.column(0), pa.array([len(s) for s in sets], type=pa.int32()), pa.array([made(s) for s in sets], type=pa.list_(pa.int64()))]
             if maps:
                 columns += [pa.array([f(s) for s in sets], type=pa.list_(pa.int64())) for f in (parity, wide)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        _known.clear()  # the worker goes on to other stages
 
     return map_arrow(texts, of, f"th long, n int, {out} array<long>" + ", m array<long>, w array<long>" * maps)
 

@@ -14,7 +14,8 @@ import re
 
 import regex
 
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 200_000
+CACHE_CHARS = 40  # longer pieces are rare, and are cut anew each time
 #: Anything beyond printable ASCII, the usual blanks and the Latin blocks, or the start of a special token.
 UNUSUAL = re.compile("[\x00-\x08\x0e-\x1f\x7f-\xa0ɐ-\U0010ffff]|<\\|")
 #: Fixed value: how the vocabulary's file cuts words.
@@ -39,23 +40,29 @@ class WordTokens:
         found = self._parts.get(part)
         if found is None:
             mapped = part if part.isascii() else self._bytes.pre_tokenize_str(part)[0][0]
-            found = self._parts[part] = array.array("I", [t.id for t in self._tokenizer.model.tokenize(mapped)]).tobytes()
+            found = array.array("I", [t.id for t in self._tokenizer.model.tokenize(mapped)]).tobytes()
+            if len(part) <= CACHE_CHARS:
+                if len(self._parts) >= CACHE_ENTRIES:
+                    self._parts.clear()
+                self._parts[part] = found
         return found
 
+    def _piece(self, w: str) -> bytes:
+        if w.isascii() and w.isalpha():
+            return array.array("I", [t.id for t in self._tokenizer.model.tokenize(w)]).tobytes()
+        return b"".join([self._part(p) for p in PARTS.findall(w)])
+
     def ids(self, text: str) -> bytes:
         if UNUSUAL.search(text):
             return self.whole(text)
-        pieces = self._pieces
-        words = text.lower().split()
-        try:
-            return b"".join([pieces[w] for w in words])
-        except KeyError:
-            pass
-        for held in (pieces, self._parts):
-            if len(held) > CACHE_ENTRIES:
-                held.clear()
-        part = self._part
-        for w in words:
-            if w not in pieces:
-                pieces[w] = part(w) if w.isascii() and w.isalpha() else b"".join([part(p) for p in PARTS.findall(w)])
-        return b"".join([pieces[w] for w in words])
+        pieces, out = self._pieces, []
+        for w in text.lower().split():
+            found = pieces.get(w)
+            if found is None:
+                found = self._piece(w)
+                if len(w) <= CACHE_CHARS:
+                    if len(pieces) >= CACHE_ENTRIES:
+                        pieces.clear()
+                    pieces[w] = found
+            out.append(found)
+        return b"".join(out)

@@ -81,3 +81,15 @@ def test_whole_examples():
 
 def test_empty(empty):
     assert packing.pack(empty, PATH).count() == 0
+
+
+def test_word_cache_is_bounded(monkeypatch):
+    """However many words a text has and however long they are, a worker keeps a bounded number of short ones; ids stay the same."""
+    from clickgauge.llm import tokens
+    assert tokens.CACHE_ENTRIES <= 200_000
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 50)
+    words = tokens.WordTokens(packing.tokenizer_path())
+    text = " ".join(f"word{i} naïve{i}, plain{'abcdefghij'[i % 10] * (i % 7)}" for i in range(400)) + " " + "x" * 5000 + " é" * 60
+    assert words.ids(text) == words.whole(text)
+    assert len(words._pieces) <= 50 and len(words._parts) <= 50
+    assert max(map(len, [*words._pieces, *words._parts])) <= 40
