@@ -240,3 +240,36 @@ def test_gram_counts_cover_all_rows(data):
     docs, _, rows, _ = data
     n = sum(len(w) + 1 for _, t, lang, *_ in rows if lang for w in langid.words_of(t))
     assert langid.gram_counts(docs.repartition(5), "text", "lang").selectExpr("sum(n)").first()[0] == n
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """A mark that only one row in thousands has, in a text of over 20,000 words, moves its own embedding; cuts come from all unseen rows."""
+    rng = random.Random(3)
+    docs, labels = [], []
+    for i in range(4000):
+        docs.append((i, " ".join(sentence(rng, 6)) + (" vilexx" if i % 3 == 0 else ""), "en"))
+        labels.append((i, int(i % 3 == 0)))
+    alone = next(i for i in range(4000, 5000) if remainder(i, 4) != 2 and zlib.crc32(f"{i}:{toxicity.SEED}".encode()) % 5)
+    docs.append((alone, "solitaryzz " * 25_000, "en"))
+    labels.append((alone, 1))
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    fitted = toxicity.fit(docs.repartition(3), labels)
+    at = zlib.crc32(b"solitaryzz") % toxicity.BUCKETS
+    assert not np.array_equal(fitted.network.embed[at], toxicity.Network.fresh().embed[at])
+    again = toxicity.fit(docs.repartition(7), labels.repartition(2))
+    assert np.array_equal(fitted.network.vectors(), again.network.vectors()) and fitted.by_lang == again.by_lang
+
+
+def test_merged_shards_tell_classes_apart(data, monkeypatch):
+    docs, labels, rows, truth = data
+    monkeypatch.setattr(toxicity, "SHARD", 200)
+    monkeypatch.setattr(toxicity, "BROADCAST_IDS", 0)
+    got = [r for r in toxicity.scored(docs, labels).collect() if r["held_out"] and r["doc_id"] in truth]
+    assert np.mean([r["predicted"] == truth[r["doc_id"]][2] for r in got]) > 0.95
+
+
+def test_best_cut_equals_trying_every_step():
+    rng = np.random.default_rng(2)
+    steps, y, n = rng.integers(-9, 9, 40).astype(float), rng.integers(0, 2, 40).astype(float), rng.integers(1, 9, 40).astype(float)
+    f1 = {c: 2 * (y * n)[steps >= c].sum() / (n[steps >= c].sum() + (y * n).sum()) for c in set(steps)}
+    assert f1[toxicity._best_cut(steps, y, n) * toxicity.STEPS] == max(f1.values())
